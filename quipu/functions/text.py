@@ -80,14 +80,19 @@ def without(tokens: Column, stop_words: Sequence[str]) -> Column:
 
 
 def ngrams(tokens: Column, smallest: int, largest: int) -> Column:
-    """All runs of ``smallest`` to ``largest`` consecutive tokens."""
+    """All runs of ``smallest`` to ``largest`` consecutive tokens.
 
-    def runs(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-        texts = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-        return F.when(F.size(tokens) >= n, texts).otherwise(F.array().cast("array<string>"))
-
-    return F.concat(*[tokens if n == 1 else runs(n) for n in range(smallest, largest + 1)])
+    Runs of n are runs of n - 1 zipped with the tokens n - 1 places on.
+    """
+    runs, out = tokens, []
+    for n in range(1, largest + 1):
+        if n > 1:
+            count = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
+            heads, tails = F.slice(runs, F.lit(1), count), F.slice(tokens, F.lit(n), count)
+            runs = F.zip_with(heads, tails, lambda a, b: F.concat_ws(" ", a, b))
+        if n >= smallest:
+            out.append(runs)
+    return F.concat(*out)
 
 
 def keyword_span(text: Column, keywords: Sequence[str]) -> Column:

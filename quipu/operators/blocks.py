@@ -170,7 +170,7 @@ def block_topk(
                 union = na + nb - s
                 s = np.divide(s, union, out=np.zeros_like(s), where=union > 0)
             low, high = float(s.min()), float(s.max())
-            s = np.round(s, digits)
+            raw, s = s, np.round(s, digits)
             s[asked] = -np.inf
             take = min(k, m)
             cut = np.partition(s, m - take, axis=1)[:, m - take][:, None]
@@ -180,7 +180,7 @@ def block_topk(
             chosen = above | (level & (np.cumsum(level, axis=1) <= need))
             chosen &= s > -np.inf
             r, c = np.nonzero(chosen)
-            found = {"id": a[0][r], "other": b[0][c], "score": s[r, c]}
+            found = {"id": a[0][r], "other": b[0][c], "score": raw[r, c]}
         size = len(found["id"])
         columns = [pa.array(found["id"], pa.int64()), pa.array(found["other"], pa.int64()), pa.array(found["score"], pa.float64())]
         names = ["id", "other", "score"]
@@ -196,7 +196,7 @@ def block_topk(
 
     schema = "id bigint, other bigint, score double" + (", low double, high double" if extremes else "")
     scored = _cogroup(left_v, right_v, pairs, kernel, schema, sizes)
-    best = Window.partitionBy("id").orderBy(F.desc("score"), "other")
+    best = Window.partitionBy("id").orderBy(F.desc(F.round("score", DIGITS)), "other")
     if not extremes:
         top = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         return top.select(F.col("id").alias(left_key), F.col("other").alias(right_key), "score")

@@ -7,17 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quipu.functions import text
 from quipu.operators.indexing import dense_index
 
 
-def term_counts(docs: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(key, term, tf).
+def term_counts(docs: DataFrame, key: str, tokens: Column, runs: tuple[int, int] = (1, 1)) -> DataFrame:
+    """(key, term, tf), where terms are runs of ``runs[0]`` to ``runs[1]`` tokens.
 
     Documents are placed by key before their tokens are unrolled, so counting
     and every later step per document stay in the same partition.
     """
     placed = docs.select(key, tokens.alias("tokens")).repartition(key)
-    return placed.select(key, F.explode("tokens").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = F.col("tokens") if runs == (1, 1) else text.ngrams(F.col("tokens"), *runs)
+    return placed.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(

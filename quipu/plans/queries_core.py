@@ -16,7 +16,7 @@ from quipu.sources import sinks
 from quipu.sources.tables import read_delimited, read_table
 
 
-def r6(col) -> F.Column:
+def r6(col):
     return F.round(col, 6)
 
 

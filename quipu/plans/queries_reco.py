@@ -13,7 +13,6 @@ from quipu.plans.registry import query
 from quipu.session import settle
 from quipu.sources.tables import read_table
 
-ITEM_TOKENS = text.terms(text.join_fields(F.col("name"), F.col("kind"), F.col("brand")))
 N_NEGATIVES = 50  # fixed value: sampled negatives per held-out pair
 
 
@@ -21,6 +20,10 @@ def r6(col):
     return F.round(col, 6)
 
 
+def item_tokens():
+    return text.terms(text.join_fields(F.col("name"), F.col("kind"), F.col("brand")))
+
+
 def _long_score(df):
     return df.withColumn("score", F.col("score").cast("bigint"))
 
@@ -133,7 +136,7 @@ profile AS (SELECT user_id, term, m / sqrt(sum(m * m) OVER (PARTITION BY user_id
 
 def _vectors(spark, d):
     """Packed item vectors and the term of every position."""
-    weights, vocab = similarity.item_weights(fx.catalog(spark, d), ITEM_TOKENS)
+    weights, vocab = similarity.item_weights(fx.catalog(spark, d), item_tokens())
     positions = settle(textmine.term_positions(vocab), "positions")
     return settle(textmine.pack(weights, positions, "item_id"), "vectors"), positions
 
@@ -369,7 +372,7 @@ def _(spark, d):
 @query("model_comparison")
 def _(spark, d):
     ratings = fx.ratings(spark, d).select("user_id", "item_id", "score")
-    models = [recommend.PopularityModel(), recommend.FactorModel(), recommend.ContentModel(ITEM_TOKENS)]
+    models = [recommend.PopularityModel(), recommend.FactorModel(), recommend.ContentModel(item_tokens())]
     return evaluate.compare(models, settle(ratings, "ratings"), fx.catalog(spark, d), N_NEGATIVES)
 
 

@@ -21,7 +21,6 @@ from quipu.sources.tables import read_table
 
 # Words that the invented prose of the fixtures contains, for spans that are found.
 FIXTURE_KEYWORDS = ["que la", "the", "und", "les"]
-POST = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("post")
 
 
 @functools.cache
@@ -46,6 +45,10 @@ tokens AS (SELECT conv_id, turn, conv_id || '-' || turn AS post,
                 lambda w: w <> '' AND NOT list_contains({_FORUM}, w)) AS tokens FROM posts)"""
 
 
+def post_key():
+    return F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("post")
+
+
 def forum_stop_words() -> list[str]:
     return text.spanish_stop_words() + text.FORUM_STOP_WORDS
 
@@ -161,7 +164,7 @@ def _lemmas(spark, d):
         SELECT post, coalesce(lemma, term) AS term, count(*) AS tf FROM w LEFT JOIN lemmas ON term = form GROUP BY ALL""",
 )
 def _(spark, d):
-    tokens = topics.forum_tokens(fx.posts(spark, d), "message", forum_stop_words()).select(POST, "tokens")
+    tokens = topics.forum_tokens(fx.posts(spark, d), "message", forum_stop_words()).select(post_key(), "tokens")
     counts = textmine.term_counts(tokens, "post", F.col("tokens"))
     return textmine.replace_lemmas(counts, _lemmas(spark, d), "post")
 
@@ -174,7 +177,7 @@ def _(spark, d):
         SELECT post, term, tf FROM c WHERE term IN (SELECT term FROM v)""",
 )
 def _(spark, d):
-    posts = topics.as_terms(topics.forum_tokens(fx.posts(spark, d), "message", forum_stop_words())).select(POST, "terms")
+    posts = topics.as_terms(topics.forum_tokens(fx.posts(spark, d), "message", forum_stop_words())).select(post_key(), "terms")
     counts = textmine.term_counts(posts, "post", F.col("terms"))
     vocab = textmine.vocabulary(counts, posts, max_features=500)
     return counts.join(vocab.select("term"), "term", "left_semi").select("post", "term", "tf")
@@ -191,33 +194,35 @@ def _doc_tokens(spark, d):
 
 
 def _runs_sql(largest: int) -> str:
-    parts = ["t"] + [
-        f"list_transform(range(1, len(t) - {n} + 2), lambda i: array_to_string(t[i:i + {n - 1}], ' '))" for n in range(2, largest + 1)
-    ]
-    return "flatten([" + ", ".join(parts) + "])"
+    at = [f"lead(term, {n}) OVER (PARTITION BY doc_id ORDER BY i)" for n in range(1, largest)]
+    longer = [" || ' ' || ".join(["term", *[f"n{k}" for k in range(1, n)]]) for n in range(2, largest + 1)]
+    named = ", ".join(f"{a} AS n{i + 1}" for i, a in enumerate(at))
+    parts = ["SELECT doc_id, term FROM x"] + [f"SELECT doc_id, {e} FROM x WHERE n{i + 1} IS NOT NULL" for i, e in enumerate(longer)]
+    return f"""x AS (SELECT *, {named} FROM (SELECT doc_id, unnest(t) AS term, generate_subscripts(t, 1) AS i FROM t)),
+g AS ({' UNION ALL '.join(parts)})"""
 
 
 @query(
     "ngram_counts",
-    f"""WITH {SQL_DOC_TOKENS}, g AS (SELECT doc_id, unnest({_runs_sql(3)}) AS term FROM t)
+    f"""WITH {SQL_DOC_TOKENS}, {_runs_sql(3)}
         SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY 1 HAVING count(DISTINCT doc_id) >= 5""",
 )
 def _(spark, d):
     tokens = _doc_tokens(spark, d)
-    counts = textmine.term_counts(tokens, "doc_id", text.ngrams(F.col("tokens"), 1, 3))
+    counts = textmine.term_counts(tokens, "doc_id", F.col("tokens"), (1, 3))
     return textmine.vocabulary(counts, tokens, min_df=5)
 
 
 @query(
     "vocab_pruned",
-    f"""WITH {SQL_DOC_TOKENS}, g AS (SELECT doc_id, unnest({_runs_sql(2)}) AS term FROM t)
+    f"""WITH {SQL_DOC_TOKENS}, {_runs_sql(2)}
         SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY 1
         HAVING count(DISTINCT doc_id) >= 5 AND count(DISTINCT doc_id) <= 0.7 * (SELECT count(*) FROM documents)
         ORDER BY total DESC, term LIMIT 500""",
 )
 def _(spark, d):
     tokens = _doc_tokens(spark, d)
-    counts = textmine.term_counts(tokens, "doc_id", text.ngrams(F.col("tokens"), 1, 2))
+    counts = textmine.term_counts(tokens, "doc_id", F.col("tokens"), (1, 2))
     return textmine.vocabulary(counts, tokens, 5, 0.7, 500)
 
 

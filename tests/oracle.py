@@ -36,9 +36,9 @@ def rows_of(columns, records):
     return [columns[i] for i in order], sorted(rows, key=lambda r: tuple((v is None, str(type(v)), v) if v is not None else (True, "", 0) for v in r))
 
 
-def compare(df, con, sql: str) -> str | None:
+def compare(columns, records, con, sql: str) -> str | None:
     """None if equal, else what differs."""
-    left_cols, left = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    left_cols, left = rows_of(columns, records)
     rel = con.sql(sql)
     right_cols, right = rows_of(rel.columns, rel.fetchall())
     if left_cols != right_cols:

@@ -27,16 +27,18 @@ def main() -> None:
     con = connect(folder)
     bad = 0
     for name in names:
-        start = time.time()
+        start, took = time.time(), 0.0
         try:
             df = entry.queries()[name](spark, folder)
+            records = [tuple(r) for r in df.collect()]
+            took = time.time() - start
             sql = entry.oracle_sql().get(name)
-            problem = compare(df, con, sql) if sql else f"rows only: {len(df.collect())}"
+            problem = compare(df.columns, records, con, sql) if sql else f"rows only: {len(records)}"
         except Exception as e:  # noqa: BLE001
             problem = "ERROR " + "".join(traceback.format_exception_only(e))[:600]
         ok = problem is None or problem.startswith("rows only")
         bad += not ok
-        print(f"{'ok ' if ok else 'BAD'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        print(f"{'ok ' if ok else 'BAD'} {name} spark {took:.1f}s all {time.time() - start:.1f}s {problem or ''}", flush=True)
     print(f"{len(names)} queries, {bad} bad")
 
 
