@@ -28,7 +28,10 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("c"))
     )
     counted = settle(counted, "counts")
-    buckets = max(1, -(-counted.count() // bucket_values))
+    values = counted.count()
+    if values <= bucket_values:
+        return _interpolate(_few_values(counted, probs, by), by)
+    buckets = -(-values // bucket_values)
     # The partition number becomes data in the written table, so later passes agree on it.
     spread = settle(
         counted.repartitionByRange(buckets, *by, "v").withColumn("bucket", F.spark_partition_id()), "buckets"
@@ -45,15 +48,10 @@ def exact_quantiles(
         F.sum("rows").over(upto).alias("through"),
         F.sum("rows").over(per_group).alias("n"),
     )
-    position = (F.col("n") - 1) * F.col("p.share")
     wanted = (
-        located.withColumn(
-            "p", F.explode(F.array(*[F.struct(F.lit(i).alias("prob"), F.lit(float(q)).alias("share")) for i, q in enumerate(probs)]))
-        )
-        .withColumn("position", position)
-        .withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
+        _with_ranks(located, probs)
         .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through")))
-        .select(*by, "bucket", "before", F.col("p.prob").alias("prob"), "position", "rank")
+        .select(*by, "bucket", "before", "prob", "position", "rank")
     )
     inside = Window.partitionBy(*by, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     needed = wanted.select(*by, "bucket", "before").distinct()
@@ -67,6 +65,30 @@ def exact_quantiles(
     hits = ranked.join(wanted.drop("before"), [*by, "bucket"]).where(
         (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("next_rank"))
     )
+    return _interpolate(hits, by)
+
+
+def _with_ranks(df: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Unroll the wanted positions among ``n`` rows and the ranks on either side of each."""
+    shares = [F.struct(F.lit(i).alias("prob"), F.lit(float(q)).alias("share")) for i, q in enumerate(probs)]
+    asked = df.withColumn("p", F.explode(F.array(*shares)))
+    asked = asked.withColumn("prob", F.col("p.prob")).withColumn("position", (F.col("n") - 1) * F.col("p.share"))
+    return asked.withColumn("rank", F.explode(F.array(F.floor("position"), F.ceil("position"))))
+
+
+def _few_values(counted: DataFrame, probs: Sequence[float], by: list[str]) -> DataFrame:
+    """The values at the wanted ranks when all distinct values fit in one bucket."""
+    per_group = Window.partitionBy(*(by or [F.lit(0)]))
+    upto = per_group.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.select(
+        *by, "v", "c", F.sum("c").over(upto).alias("next_rank"), F.sum("c").over(per_group).alias("n")
+    )
+    return _with_ranks(ranked, probs).where(
+        (F.col("rank") >= F.col("next_rank") - F.col("c")) & (F.col("rank") < F.col("next_rank"))
+    )
+
+
+def _interpolate(hits: DataFrame, by: list[str]) -> DataFrame:
     low, high = F.min("v"), F.max("v")
     share = F.max("position") - F.floor(F.max("position"))
     return hits.groupBy(*by, "prob").agg((low + (high - low) * share).alias("quantile"))
