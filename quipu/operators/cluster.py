@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quipu.functions.scores import squared_distance
 from quipu.operators.blocks import block_distance_sums
+from quipu.operators.joins import broadcast_if_small
 from quipu.session import settle, spill_cache
 
 
@@ -81,7 +82,7 @@ def davies_bouldin(df: DataFrame, label: str, vector: str, size: int) -> DataFra
     points = df.select(label, F.transform(F.col(vector), lambda x: x.cast("double")).alias("val"))
     centers = cluster_centers(points, label, "val", size)
     spread = (
-        points.join(centers, label)
+        points.join(broadcast_if_small(centers), label)
         .groupBy(label)
         .agg(F.avg(F.sqrt(squared_distance(F.col("val"), F.col("center")))).alias("s"), F.first("center").alias("c"))
     )
@@ -109,7 +110,7 @@ def silhouette_exact(df: DataFrame, key: str, label: str, vector: str) -> DataFr
     sums = block_distance_sums(points, key, "grp")
     sizes = points.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     own = points.select(key, F.col("grp").alias("own"))
-    rows = sums.join(sizes, "grp").join(own, key)
+    rows = sums.join(broadcast_if_small(sizes), "grp").join(own, key)
     mine = F.col("grp") == F.col("own")
     per_point = rows.groupBy(key).agg(
         F.max(F.when(mine, F.try_divide("total", F.col("n") - 1))).alias("a"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.operators.indexing import dense_index, hash_number
+from quipu.operators.joins import broadcast_if_small
 from quipu.operators.recommend import Recommender
 from quipu.session import settle
 
@@ -25,13 +26,20 @@ def holdout_split(
     tell how many test pairs fall in each, so no user is sorted as a whole.
     """
     sizes = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > slot_rows).select("user_id", F.ceil(F.col("n") / slot_rows).alias("slots"))
-    slots = F.coalesce("slots", F.lit(1))
-    placed = (
-        pairs.join(large, "user_id", "left")
-        .withColumn("draw", F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("user_id").cast("string"), F.col("item_id").cast("string"))))
-        .withColumn("slot", F.shiftright(hash_number(F.lit(seed), F.col("user_id"), F.col("item_id")) * slots, 32))
+    large = settle(
+        sizes.where(F.col("n") > slot_rows).select("user_id", F.ceil(F.col("n") / slot_rows).alias("slots")), "large"
     )
+    number = hash_number(F.lit(seed), F.col("user_id"), F.col("item_id"))
+    draw = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("user_id").cast("string"), F.col("item_id").cast("string")))
+    placed = pairs.withColumn("draw", draw)
+    if large.take(1):
+        slots = F.coalesce("slots", F.lit(1))
+        # Without the broadcast the rows of a user would stay together; the new placement parts them.
+        placed = placed.join(broadcast_if_small(large), "user_id", "left").withColumn(
+            "slot", F.shiftright(number * slots, 32)
+        ).repartition("user_id", "slot")
+    else:
+        placed = placed.withColumn("slot", F.lit(0).cast("bigint"))
     per_slot = placed.groupBy("user_id", "slot").agg(F.count(F.lit(1)).alias("c"))
     of_user = Window.partitionBy("user_id")
     upto = of_user.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -1,7 +1,9 @@
 """Joins with lookup dimensions and catalogues.
 
-No broadcast is forced here: Spark broadcasts a side when its measured size is
-under its threshold and otherwise shuffles, splitting skewed partitions.
+Plain joins leave the choice to Spark, which broadcasts a side whose measured
+size is under its threshold and otherwise shuffles and splits skewed partitions.
+Where a skewed partition could not be split, the helpers below give the plan
+another shape.
 """
 
 from __future__ import annotations
@@ -12,6 +14,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a frame of narrow rows for broadcast, but only after counting that it is small."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def catalog_left_join(catalog: DataFrame, facts: DataFrame, on: str) -> DataFrame:
+    """Catalogue left-joined to its facts: columns of the catalogue, then of the facts.
+
+    A left join cannot split a hot key on its right side.  The matching part is
+    therefore an inner join, which can, and the rest are catalogue rows without facts.
+    """
+    extra = [c for c in facts.columns if c != on]
+    matched = facts.join(catalog, on, "inner").select(*catalog.columns, *extra)
+    lonely = catalog.join(facts.select(on).distinct(), on, "left_anti")
+    blanks = [F.lit(None).cast(facts.schema[c].dataType).alias(c) for c in extra]
+    return matched.unionByName(lonely.select(*catalog.columns, *blanks))
+
+
 def lookup_joins(
     df: DataFrame, dim: DataFrame, roles: Mapping[str, str], key: str = "id", label: str = "description"
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.functions.scores import quantile_class, rescale, zscore
@@ -13,16 +13,14 @@ from quipu.session import settle
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "last") -> DataFrame:
-    """One row per key: the last (or first) by ``order``.
+    """One row per key: the last (or first) by ``order``; missing order values come before all others.
 
-    An aggregate, not a window: copies collapse before the shuffle, so a key
-    that holds a large share of the rows costs one partial row per task.
+    The filter on the row number is applied per task before the shuffle as well,
+    so a key that holds a large share of the rows sends one row per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*rest)
-    version = F.struct(*order)
-    pick = {"last": F.max_by, "first": F.min_by}[keep](payload, version)
-    return df.groupBy(*keys).agg(pick.alias("kept")).select(*keys, "kept.*").select(*df.columns)
+    sort = {"last": F.desc_nulls_last, "first": F.asc_nulls_first}[keep]
+    best = Window.partitionBy(*keys).orderBy(*[sort(c) for c in order])
+    return df.withColumn("__rn", F.row_number().over(best)).where("__rn = 1").drop("__rn")
 
 
 def seen_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:

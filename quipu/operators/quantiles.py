@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quipu.session import settle
 
-BUCKET_VALUES = 500_000
+BUCKET_VALUES = 2_000_000
 
 
 def exact_quantiles(

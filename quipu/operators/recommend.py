@@ -11,6 +11,7 @@ from quipu.functions.scores import rescale
 from quipu.operators import factorize, similarity
 from quipu.operators.blocks import block_scores, block_topk
 from quipu.operators.indexing import sorted_index
+from quipu.operators.joins import broadcast_if_small
 from quipu.operators.textmine import term_positions
 from quipu.session import settle
 
@@ -54,7 +55,7 @@ def popular_unseen(ratings: DataFrame, users: DataFrame, exclude: DataFrame, n:
     """
     order = [F.desc("score"), F.asc("item_id")]
     ranked = settle(sorted_index(popularity(ratings, value), order, "pos"), "ranked")
-    total = ranked.agg(F.count(F.lit(1))).scalar()
+    total = ranked.count()
     of_user = Window.partitionBy("user_id").orderBy("pos")
     gone = (
         exclude.select("user_id", "item_id")
@@ -66,11 +67,13 @@ def popular_unseen(ratings: DataFrame, users: DataFrame, exclude: DataFrame, n:
     )
     gone = settle(gone, "gone")
     pushed = gone.groupBy("user_id").agg(F.count(F.lit(1)).alias("pushed"))
-    reach = F.least(F.lit(n) + F.coalesce("pushed", F.lit(0)), total)
+    reach = F.least(F.lit(n) + F.coalesce("pushed", F.lit(0)), F.lit(total))
     heads = users.select("user_id").distinct().join(pushed, "user_id", "left").select(
         "user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), reach.cast("bigint"))).alias("pos")
     )
-    return heads.join(gone, ["user_id", "pos"], "left_anti").join(ranked, "pos").select("user_id", "item_id", "score")
+    furthest = n + (pushed.agg(F.max("pushed")).first()[0] or 0)
+    top = broadcast_if_small(ranked.where(F.col("pos") <= furthest))
+    return heads.join(gone, ["user_id", "pos"], "left_anti").join(top, "pos").select("user_id", "item_id", "score")
 
 
 def top_per_user(scores: DataFrame, n: int) -> DataFrame:

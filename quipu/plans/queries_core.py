@@ -198,9 +198,8 @@ def _(spark, d):
         SELECT item_id, name, kind, user_id, views FROM catalog LEFT JOIN pairs USING (item_id)""",
 )
 def _(spark, d):
-    return fx.catalog(spark, d).join(fx.pairs(spark, d), "item_id", "left").select(
-        "item_id", "name", "kind", "user_id", "views"
-    )
+    catalog = fx.catalog(spark, d).select("item_id", "name", "kind")
+    return joins.catalog_left_join(catalog, fx.pairs(spark, d), "item_id")
 
 
 @query(
