@@ -1,10 +1,13 @@
 """Scoring two sets of vectors against each other, block by block.
 
 Both sides are cut into blocks of bounded size and every pair of blocks is one
-cogroup: its scores exist only as a matrix inside one task, and what leaves the
-task is bounded (the best few per row, the requested pairs, or one sum per
-group).  No pair of ids becomes a row unless it is part of the answer, and
-neither side is broadcast or held whole anywhere.
+cogroup: its scores exist only as slices of a matrix inside one task, and what
+leaves the task is bounded (the best few per row, the requested pairs, or one
+sum per group).  No pair of ids becomes a row unless it is part of the answer,
+and neither side is broadcast or held whole anywhere.
+
+Blocks are large, because every row is sent once per block of the other side.
+Only when there would be fewer blocks than tasks is the left side cut finer.
 
 A vector is ``val`` alone (dense), or ``idx`` with ``val`` (sparse).
 """
@@ -15,17 +18,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.session import settle, task_count
 
-LEFT_ROWS = 2048
-RIGHT_ROWS = 4096
+BLOCK_ROWS = 32_768
+FINEST_ROWS = 512
+SLICE_CELLS = 8_000_000  # cells of one dense slice inside a task
 DIGITS = 9  # scores are ranked at this many decimals, so equal vectors tie exactly
 
 
-def _block(column: str, blocks: int):
+def _block(column: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(F.col(column)), F.lit(blocks)).cast("int")
 
 
@@ -39,14 +43,26 @@ def _vectors(df: DataFrame, key: str, tag: str | None) -> DataFrame:
     )
 
 
+def _grid(left: DataFrame, right: DataFrame, rows: int) -> tuple[int, int, int]:
+    """Blocks on the left, blocks on the right, shuffle partitions."""
+    spark, n_left, n_right = left.sparkSession, left.count(), right.count()
+    blocks_right = max(1, -(-n_right // rows))
+    wanted = -(-2 * task_count(spark) // blocks_right)
+    blocks_left = max(1, -(-n_left // rows), min(wanted, -(-n_left // FINEST_ROWS)) if rows == BLOCK_ROWS else 1)
+    pairs = blocks_left * blocks_right
+    return blocks_left, blocks_right, pairs if pairs <= 20_000 else 20_000
+
+
 def _cogroup(
-    left: DataFrame, right: DataFrame, pairs: DataFrame | None, kernel: Callable, schema: str, sizes: tuple[int, int]
+    left: DataFrame, right: DataFrame, pairs: DataFrame | None, kernel: Callable, schema: str, block_rows: int
 ) -> DataFrame:
-    """Run ``kernel(left, right, pair positions)`` once per pair of blocks."""
-    spark = left.sparkSession
-    n_left = max(1, -(-left.count() // sizes[0]))
-    n_right = max(1, -(-right.count() // sizes[1]))
-    tasks = min(n_left * n_right, 4 * task_count(spark)) if n_left * n_right < 10_000 else n_left * n_right // 8
+    """Run ``kernel`` once per pair of blocks.
+
+    It gets both sides as dicts (``ids``, ``tags``, ``lens``, ``squares``), a
+    function giving the dense rows of a side, and the positions of the
+    requested pairs, sorted by left row.
+    """
+    n_left, n_right, tasks = _grid(left, right, block_rows)
     grid = ["lb", "rb"]
     rows = left.select(
         _block("id", n_left).alias("lb"),
@@ -73,60 +89,77 @@ def _cogroup(
         "id", "tag", "idx", "val",
     )
 
+    def read(table: pa.Table) -> dict:
+        table = table.sort_by("id").combine_chunks()
+        vals, idx = table["val"].combine_chunks(), table["idx"].combine_chunks()
+        lens = vals.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+        flat = vals.flatten().to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(lens)), lens)
+        if idx.null_count == len(idx):
+            cols = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
+        else:
+            cols = idx.flatten().to_numpy(zero_copy_only=False)
+        return {
+            "ids": table["id"].to_numpy(),
+            "tags": table["tag"].to_numpy(),
+            "lens": lens,
+            "squares": np.bincount(owner, weights=flat**2, minlength=len(lens)),
+            "cells": (owner, cols, flat),
+        }
+
     def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
-        def dense(table: pa.Table, keep: np.ndarray | None):
-            """(sorted ids, tags, flat index, flat value, row pointer) of the vector rows."""
-            if keep is not None:
-                table = table.filter(pa.array(keep))
-            table = table.sort_by("id").combine_chunks()
-            ids = table["id"].to_numpy()
-            tags = table["tag"].to_numpy()
-            vals = table["val"].combine_chunks()
-            lens = vals.value_lengths().fill_null(0).to_numpy()
-            ptr = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
-            flat = vals.flatten().to_numpy(zero_copy_only=False)
-            idx = table["idx"].combine_chunks()
-            if idx.null_count == len(idx):
-                cols = np.arange(ptr[-1]) - np.repeat(ptr[:-1], lens)
-            else:
-                cols = idx.flatten().to_numpy(zero_copy_only=False)
-            return ids, tags, cols, flat, ptr, lens
-
-        asked_l = asked_r = None
-        keep = None
-        if "other" in lt.column_names:
-            is_pair = lt["other"].is_valid().to_numpy()
-            if is_pair.any():
-                p = lt.filter(pa.array(is_pair))
-                asked_l, asked_r = p["id"].to_numpy(), p["other"].to_numpy()
-            keep = ~is_pair
-        a, b = dense(lt, keep), dense(rt, None)
+        is_pair = lt["other"].is_valid().to_numpy()
+        a, b = read(lt.filter(pa.array(~is_pair))), read(rt)
         # Only features that occur on both sides matter to a product.
-        feats = np.intersect1d(a[2], b[2])
-
-        def matrix(side, feats_part):
-            ids, _, cols, flat, ptr, lens = side
-            rows_of = np.repeat(np.arange(len(ids)), lens)
-            at = np.searchsorted(feats_part, cols)
-            ok = (at < len(feats_part)) & (feats_part[np.minimum(at, max(len(feats_part) - 1, 0))] == cols) if len(feats_part) else np.zeros(len(cols), bool)
-            m = np.zeros((len(ids), len(feats_part)))
-            m[rows_of[ok], at[ok]] = flat[ok]
-            return m
-
-        def products(step: int = 2048) -> np.ndarray:
-            out = np.zeros((len(a[0]), len(b[0])))
-            for s in range(0, len(feats), step):
-                out += matrix(a, feats[s : s + step]) @ matrix(b, feats[s : s + step]).T
+        features = np.intersect1d(a["cells"][1], b["cells"][1])
+        for side in (a, b):
+            owner, cols, flat = side.pop("cells")
+            at = np.searchsorted(features, cols)
+            if len(features):
+                shared = features[np.minimum(at, len(features) - 1)] == cols
+            else:
+                shared = np.zeros(len(cols), bool)
+            side["owner"], side["at"], side["flat"] = owner[shared], at[shared], flat[shared]
+
+        def dense(side: dict, low: int, high: int, first: int, last: int) -> np.ndarray:
+            """Rows ``low:high`` and features ``first:last`` as a matrix."""
+            s, e = np.searchsorted(side["owner"], [low, high])
+            at = side["at"][s:e]
+            inside = (at >= first) & (at < last)
+            out = np.zeros((high - low, last - first))
+            out[side["owner"][s:e][inside] - low, at[inside] - first] = side["flat"][s:e][inside]
+            return out
+
+        n, m, width = len(a["ids"]), len(b["ids"]), len(features)
+        step = max(1, SLICE // max(m, 1))
+        whole = dense(b, 0, m, 0, width).T if width <= 4 * step else None
+
+        def products(low: int, high: int) -> np.ndarray:
+            """Scores of left rows ``low:high`` against all right rows."""
+            if whole is not None:
+                return dense(a, low, high, 0, width) @ whole
+            out = np.zeros((high - low, m))
+            for f in range(0, width, step):
+                g = min(f + step, width)
+                out += dense(a, low, high, f, g) @ dense(b, 0, m, f, g).T
             return out
 
         at_l = at_r = np.zeros(0, dtype=np.int64)
-        if asked_l is not None and len(a[0]) and len(b[0]):
-            at_l = np.minimum(np.searchsorted(a[0], asked_l), len(a[0]) - 1)
-            at_r = np.minimum(np.searchsorted(b[0], asked_r), len(b[0]) - 1)
-            known = (a[0][at_l] == asked_l) & (b[0][at_r] == asked_r)
+        if is_pair.any() and n and m:
+            asked = lt.filter(pa.array(is_pair))
+            want_l, want_r = asked["id"].to_numpy(), asked["other"].to_numpy()
+            at_l = np.minimum(np.searchsorted(a["ids"], want_l), n - 1)
+            at_r = np.minimum(np.searchsorted(b["ids"], want_r), m - 1)
+            known = (a["ids"][at_l] == want_l) & (b["ids"][at_r] == want_r)
             at_l, at_r = at_l[known], at_r[known]
-        return kernel(a, b, products, (at_l, at_r))
-
+            order = np.argsort(at_l, kind="stable")
+            at_l, at_r = at_l[order], at_r[order]
+        # Slices of left rows whose score matrix stays within the cell budget.
+        height = max(1, SLICE // max(m, 1))
+        slices = [(low, min(low + height, n)) for low in range(0, n, height)] if m else []
+        return kernel(a, b, dense, products, slices, (at_l, at_r), width)
+
+    SLICE = SLICE_CELLS
     lg = rows.repartition(tasks, *grid).groupBy(*grid)
     rg = columns.repartition(tasks, *grid).groupBy(*grid)
     return lg.cogroup(rg).applyInArrow(run, schema)
@@ -140,7 +173,7 @@ def block_topk(
     right_key: str,
     exclude: DataFrame | None = None,
     measure: str = "dot",
-    sizes: tuple[int, int] = (LEFT_ROWS, RIGHT_ROWS),
+    block_rows: int = BLOCK_ROWS,
     extremes: bool = False,
 ) -> DataFrame:
     """The ``k`` best right rows for every left row: (left key, right key, score).
@@ -148,8 +181,7 @@ def block_topk(
     ``exclude`` holds (left key, right key) pairs that must not appear.
     ``measure`` is ``dot`` or, for 0/1 vectors, ``jaccard``.  Ties go to the
     smaller right key.  With ``extremes`` the frame also has ``low`` and
-    ``high``, the least and greatest score per block pair before exclusion; rows
-    whose right key is null only carry those.
+    ``high``, the least and greatest score over all pairs before exclusion.
     """
     left_v, right_v = settle(_vectors(left, left_key, None), "left"), settle(_vectors(right, right_key, None), "right")
     pairs = None
@@ -157,101 +189,111 @@ def block_topk(
         pairs = exclude.select(F.col(left_key).cast("bigint").alias("id"), F.col(right_key).cast("bigint").alias("other"))
     digits = DIGITS
 
-    def kernel(a, b, products, asked):
-        def empty(n=0):
-            return {"id": np.zeros(n, np.int64), "other": np.zeros(n, np.int64), "score": np.zeros(n)}
-
-        n, m = len(a[0]), len(b[0])
-        found, low, high = empty(), np.nan, np.nan
-        if n and m:
-            s = products()
+    def kernel(a, b, dense, products, slices, asked, width):
+        ids, others, scores, low, high = [], [], [], np.inf, -np.inf
+        take = min(k, len(b["ids"]))
+        for first, last in slices:
+            raw = products(first, last)
             if measure == "jaccard":
-                na, nb = a[5][:, None], b[5][None, :]
-                union = na + nb - s
-                s = np.divide(s, union, out=np.zeros_like(s), where=union > 0)
-            low, high = float(s.min()), float(s.max())
-            raw, s = s, np.round(s, digits)
-            s[asked] = -np.inf
-            take = min(k, m)
-            cut = np.partition(s, m - take, axis=1)[:, m - take][:, None]
-            above = s > cut
-            level = s == cut
-            need = take - above.sum(axis=1, keepdims=True)
-            chosen = above | (level & (np.cumsum(level, axis=1) <= need))
-            chosen &= s > -np.inf
-            r, c = np.nonzero(chosen)
-            found = {"id": a[0][r], "other": b[0][c], "score": raw[r, c]}
-        size = len(found["id"])
-        columns = [pa.array(found["id"], pa.int64()), pa.array(found["other"], pa.int64()), pa.array(found["score"], pa.float64())]
+                union = a["lens"][first:last, None] + b["lens"][None, :] - raw
+                raw = np.divide(raw, union, out=np.zeros_like(raw), where=union > 0)
+            low, high = min(low, float(raw.min())), max(high, float(raw.max()))
+            s = np.round(raw, digits)
+            x, y = np.searchsorted(asked[0], [first, last])
+            s[asked[0][x:y] - first, asked[1][x:y]] = -np.inf
+            cut = np.partition(s, s.shape[1] - take, axis=1)[:, s.shape[1] - take][:, None]
+            above, level = s > cut, s == cut
+            spare = take - above.sum(axis=1, keepdims=True)
+            chosen = above | (level & (np.cumsum(level, axis=1) <= spare))
+            r, c = np.nonzero(chosen & (s > -np.inf))
+            ids.append(a["ids"][first:last][r])
+            others.append(b["ids"][c])
+            scores.append(raw[r, c])
+
+        def column(parts, kind):
+            return pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
+
+        out = [column(ids, pa.int64()), column(others, pa.int64()), column(scores, pa.float64())]
         names = ["id", "other", "score"]
         if extremes:
-            columns = [pa.concat_arrays([c, pa.nulls(1, c.type)]) for c in columns]
-            lows = np.full(size + 1, np.nan)
-            highs = np.full(size + 1, np.nan)
-            lows[-1], highs[-1] = low, high
-            empty_block = not (n and m)
-            columns += [pa.array(lows, mask=np.isnan(lows) | empty_block), pa.array(highs, mask=np.isnan(highs) | empty_block)]
+            # One more row carries the extremes of this pair of blocks.
+            seen = low <= high
+            n = len(out[0])
+            out = [pa.concat_arrays([c, pa.nulls(1, c.type)]) for c in out]
+            out += [pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array([v if seen else None], pa.float64())]) for v in (low, high)]
             names += ["low", "high"]
-        return pa.table(columns, names=names)
+        return pa.table(out, names=names)
 
     schema = "id bigint, other bigint, score double" + (", low double, high double" if extremes else "")
-    scored = _cogroup(left_v, right_v, pairs, kernel, schema, sizes)
+    scored = _cogroup(left_v, right_v, pairs, kernel, schema, block_rows)
     best = Window.partitionBy("id").orderBy(F.desc(F.round("score", DIGITS)), "other")
+    if extremes:
+        scored = settle(scored, "scored")
+    found = scored.where("other IS NOT NULL").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    named = [F.col("id").alias(left_key), F.col("other").alias(right_key), F.col("score")]
     if not extremes:
-        top = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        return top.select(F.col("id").alias(left_key), F.col("other").alias(right_key), "score")
-    scored = settle(scored, "scored")
-    top = scored.where("other IS NOT NULL").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return found.select(*named)
     low, high = scored.agg(F.min("low")).scalar(), scored.agg(F.max("high")).scalar()
-    return top.select(F.col("id").alias(left_key), F.col("other").alias(right_key), "score", low.alias("low"), high.alias("high"))
+    return found.select(*named, low.alias("low"), high.alias("high"))
 
 
 def block_scores(
-    left: DataFrame,
-    right: DataFrame,
-    pairs: DataFrame,
-    left_key: str,
-    right_key: str,
-    sizes: tuple[int, int] = (LEFT_ROWS, RIGHT_ROWS),
+    left: DataFrame, right: DataFrame, pairs: DataFrame, left_key: str, right_key: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Product of the two vectors for each requested pair; pairs without both vectors are absent."""
     left_v, right_v = settle(_vectors(left, left_key, None), "left"), settle(_vectors(right, right_key, None), "right")
     asked = pairs.select(F.col(left_key).cast("bigint").alias("id"), F.col(right_key).cast("bigint").alias("other"))
 
-    def kernel(a, b, products, asked):
-        r, c = asked
-        scores = products()[r, c] if len(r) else np.zeros(0)
-        return pa.table([pa.array(a[0][r], pa.int64()), pa.array(b[0][c], pa.int64()), pa.array(scores)], names=["id", "other", "score"])
-
-    out = _cogroup(left_v, right_v, asked, kernel, "id bigint, other bigint, score double", sizes)
+    def kernel(a, b, dense, products, slices, wanted, width):
+        r, c = wanted
+        scores = np.zeros(len(r))
+        n, height = len(a["ids"]), max(1, budget // max(width, 1))
+        start = np.searchsorted(b["owner"], np.arange(len(b["ids"]) + 1))
+        for first in range(0, n if len(r) else 0, height):
+            last = min(first + height, n)
+            x, y = np.searchsorted(r, [first, last])
+            mine = dense(a, first, last, 0, width) if x < y else None
+            at = x
+            while at < y:
+                # As many pairs as unroll to a bounded number of right-hand cells.
+                counts = start[c[at:y] + 1] - start[c[at:y]]
+                run = max(1, int(np.searchsorted(np.cumsum(counts), budget // 4, side="right")))
+                counts, stop = counts[:run], min(at + run, y)
+                pair = np.repeat(np.arange(len(counts)), counts)
+                cell = np.repeat(start[c[at:stop]] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+                weights = b["flat"][cell] * mine[r[at:stop][pair] - first, b["at"][cell]]
+                scores[at:stop] = np.bincount(pair, weights=weights, minlength=stop - at)
+                at = stop
+        return pa.table([pa.array(a["ids"][r], pa.int64()), pa.array(b["ids"][c], pa.int64()), pa.array(scores)], names=["id", "other", "score"])
+
+    budget = SLICE_CELLS
+    out = _cogroup(left_v, right_v, asked, kernel, "id bigint, other bigint, score double", block_rows)
     return out.select(F.col("id").alias(left_key), F.col("other").alias(right_key), "score")
 
 
-def block_distance_sums(
-    points: DataFrame, key: str, group: str, sizes: tuple[int, int] = (LEFT_ROWS, RIGHT_ROWS)
-) -> DataFrame:
+def block_distance_sums(points: DataFrame, key: str, group: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Sum of Euclidean distances from every point to the points of each group: (key, group, total)."""
     vectors = settle(_vectors(points, key, group), "points")
 
-    def kernel(a, b, products, asked):
-        if not (len(a[0]) and len(b[0])):
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["id", "grp", "part"])
-        sq = squares(a)[:, None] + squares(b)[None, :] - 2.0 * products()
-        same = a[0][:, None] == b[0][None, :]
-        dist = np.sqrt(np.maximum(sq, 0.0))
-        dist[same] = 0.0
-        groups, at = np.unique(b[1], return_inverse=True)
-        onto = np.zeros((len(b[0]), len(groups)))
-        onto[np.arange(len(b[0])), at] = 1.0
-        sums = dist @ onto
+    def kernel(a, b, dense, products, slices, asked, width):
+        groups, at = np.unique(b["tags"], return_inverse=True)
+        onto = np.zeros((len(b["ids"]), len(groups)))
+        onto[np.arange(len(b["ids"])), at] = 1.0
+        ids, grps, parts = [], [], []
+        for first, last in slices:
+            sq = a["squares"][first:last, None] + b["squares"][None, :] - 2.0 * products(first, last)
+            dist = np.sqrt(np.maximum(sq, 0.0))
+            dist[a["ids"][first:last, None] == b["ids"][None, :]] = 0.0
+            ids.append(np.repeat(a["ids"][first:last], len(groups)))
+            grps.append(np.tile(groups, last - first).astype(np.int64))
+            parts.append((dist @ onto).ravel())
+
+        def column(values, kind):
+            return pa.array(np.concatenate(values) if values else np.zeros(0), kind)
+
         return pa.table(
-            [pa.array(np.repeat(a[0], len(groups)), pa.int64()), pa.array(np.tile(groups, len(a[0])).astype(np.int64)), pa.array(sums.ravel())],
-            names=["id", "grp", "part"],
+            [column(ids, pa.int64()), column(grps, pa.int64()), column(parts, pa.float64())], names=["id", "grp", "part"]
         )
 
-    def squares(side):
-        rows_of = np.repeat(np.arange(len(side[0])), side[5])
-        return np.bincount(rows_of, weights=side[3] ** 2, minlength=len(side[0]))
-
-    parts = _cogroup(vectors, vectors, None, kernel, "id bigint, grp bigint, part double", sizes)
+    parts = _cogroup(vectors, vectors, None, kernel, "id bigint, grp bigint, part double", block_rows)
     return parts.groupBy(F.col("id").alias(key), F.col("grp").alias(group)).agg(F.sum("part").alias("total"))

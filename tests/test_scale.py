@@ -76,9 +76,10 @@ def test_popular_unseen_matches_brute_force(spark, ratings):
         assert got[u] == set([i for i in order if i not in seen[u]][:4])
 
 
-@pytest.mark.parametrize("sizes", [(4, 3), (7, 100), (1000, 1000)])
+@pytest.mark.parametrize("block_rows", [4, 19, blocks.BLOCK_ROWS])
 @pytest.mark.parametrize("sparse", [True, False])
-def test_block_topk_matches_brute_force(spark, sizes, sparse):
+def test_block_topk_matches_brute_force(spark, monkeypatch, block_rows, sparse):
+    monkeypatch.setattr(blocks, "SLICE_CELLS", 30 if block_rows == 19 else 8_000_000)
     rng = np.random.default_rng(1)
     a, b = rng.integers(-2, 3, (23, 6)).astype(float), rng.integers(-2, 3, (17, 6)).astype(float)
 
@@ -92,7 +93,7 @@ def test_block_topk_matches_brute_force(spark, sizes, sparse):
 
     gone = [(int(i) * 3, int(j) * 3) for i, j in rng.integers(0, 17, (60, 2))]
     exclude = spark.createDataFrame(gone + [(999, 0)], "l long, r long")
-    rows = blocks.block_topk(frame(a, "l"), frame(b, "r"), 5, "l", "r", exclude=exclude, sizes=sizes, extremes=True).collect()
+    rows = blocks.block_topk(frame(a, "l"), frame(b, "r"), 5, "l", "r", exclude=exclude, block_rows=block_rows, extremes=True).collect()
     s = a @ b.T
     got: dict[int, list] = {}
     for r in rows:
@@ -103,11 +104,12 @@ def test_block_topk_matches_brute_force(spark, sizes, sparse):
         assert sorted(got[i * 3]) == sorted(sorted(left, key=lambda x: (-x[1], x[0]))[:5])
 
 
-def test_block_scores_only_asked_pairs(spark):
+def test_block_scores_only_asked_pairs(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "SLICE_CELLS", 5)
     left = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(9)], "l long, val array<double>")
     right = spark.createDataFrame([(i, [2.0, float(i)]) for i in range(7)], "r long, val array<double>")
     asked = spark.createDataFrame([(1, 2), (8, 6), (3, 99)], "l long, r long")
-    rows = blocks.block_scores(left, right, asked, "l", "r", sizes=(2, 3)).collect()
+    rows = blocks.block_scores(left, right, asked, "l", "r", block_rows=2).collect()
     assert {(r["l"], r["r"], r["score"]) for r in rows} == {(1, 2, 4.0), (8, 6, 22.0)}
 
 
