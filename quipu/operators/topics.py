@@ -40,8 +40,14 @@ def as_terms(tokens: DataFrame) -> DataFrame:
 
 
 def assign_topics(model: PipelineModel, tokens: DataFrame) -> DataFrame:
-    """Adds ``distribution`` and ``topic``, the strongest topic numbered from 1."""
+    """Adds ``distribution`` and ``topic``, the strongest topic numbered from 1.
+
+    A post without any known term gets the even distribution, so topic 1.
+    """
+    k = model.stages[1].getK()
     scored = model.transform(as_terms(tokens)).withColumn("distribution", vector_to_array("topicDistribution"))
+    known = F.array_max("distribution") > 0
+    scored = scored.withColumn("distribution", F.when(known, F.col("distribution")).otherwise(F.array_repeat(F.lit(1.0 / k), k)))
     strongest = F.array_position("distribution", F.array_max("distribution"))
     return scored.withColumn("topic", strongest.cast("int")).drop("bag", "topicDistribution", "terms")
 
