@@ -25,7 +25,8 @@ from quipu.session import settle, task_count
 
 BLOCK_ROWS = 32_768
 FINEST_ROWS = 512
-SLICE_CELLS = 8_000_000  # cells of one dense slice inside a task
+SLICE_CELLS = 8_000_000  # cells of one dense set of vectors inside a task
+SCORE_CELLS = 500_000  # cells of one slice of scores, small enough for the processor cache
 DIGITS = 9  # scores are ranked at this many decimals, so equal vectors tie exactly
 
 
@@ -155,11 +156,11 @@ def _cogroup(
             order = np.argsort(at_l, kind="stable")
             at_l, at_r = at_l[order], at_r[order]
         # Slices of left rows whose score matrix stays within the cell budget.
-        height = max(1, SLICE // max(m, 1))
+        height = max(1, SCORES // max(m, 1))
         slices = [(low, min(low + height, n)) for low in range(0, n, height)] if m else []
         return kernel(a, b, dense, products, slices, (at_l, at_r), width)
 
-    SLICE = SLICE_CELLS
+    SLICE, SCORES = SLICE_CELLS, min(SCORE_CELLS, SLICE_CELLS)
     lg = rows.repartition(tasks, *grid).groupBy(*grid)
     rg = columns.repartition(tasks, *grid).groupBy(*grid)
     return lg.cogroup(rg).applyInArrow(run, schema)

@@ -80,6 +80,9 @@ def negative_samples(
     n_seen = known.join(positions, "item_id", "left_semi").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
     left = F.lit(total) - F.coalesce("n_seen", F.lit(0))
     need = F.least(F.lit(n), left)
+    # Expected steps to meet that many unseen items, plus four deviations.
+    miss = 1 - left / F.lit(prime)
+    steps = (need + 4 * F.sqrt(need * miss)) * prime / F.greatest(left, F.lit(1)) + 3
     pending = settle(
         test.select("user_id", "item_id").distinct().join(n_seen, "user_id", "left").select(
             "user_id",
@@ -87,7 +90,7 @@ def negative_samples(
             need.alias("need"),
             (hash_number(*key) % prime).alias("start"),
             (hash_number(*key, start=9) % (prime - 1) + 1).alias("step"),
-            F.least(F.lit(prime), F.ceil(need * 1.5 * prime / F.greatest(left, F.lit(1))) + 20).cast("bigint").alias("reach"),
+            F.least(F.lit(prime), F.ceil(steps)).cast("bigint").alias("reach"),
         ).where("need > 0"),
         "pending",
     )

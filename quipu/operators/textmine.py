@@ -14,10 +14,11 @@ from quipu.operators.indexing import dense_index
 def term_counts(docs: DataFrame, key: str, tokens: Column, runs: tuple[int, int] = (1, 1)) -> DataFrame:
     """(key, term, tf), where terms are runs of ``runs[0]`` to ``runs[1]`` tokens.
 
-    Documents are placed by key before their tokens are unrolled, so counting
-    and every later step per document stay in the same partition.
+    Whole documents are placed by key before they are cut into tokens, so
+    counting and every later step per document stay in the same partition, and
+    a few large input files do not limit the number of tasks.
     """
-    placed = docs.select(key, tokens.alias("tokens")).repartition(key)
+    placed = docs.repartition(key).select(key, tokens.alias("tokens"))
     terms = F.col("tokens") if runs == (1, 1) else text.ngrams(F.col("tokens"), *runs)
     return placed.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 

@@ -188,9 +188,9 @@ SQL_DOC_TOKENS = f"""t AS (SELECT doc_id, list_filter({SQL_TERMS.format('text')}
 
 
 def _doc_tokens(spark, d):
+    """The documents and the expression of their tokens."""
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
-    kept = text.without(text.terms(F.col("text")), text.spanish_stop_words() + text.RESOURCE_STOP_WORDS)
-    return docs.select("doc_id", kept.alias("tokens"))
+    return docs, text.without(text.terms(F.col("text")), text.spanish_stop_words() + text.RESOURCE_STOP_WORDS)
 
 
 def _runs_sql(largest: int) -> str:
@@ -208,9 +208,9 @@ g AS ({' UNION ALL '.join(parts)})"""
         SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY 1 HAVING count(DISTINCT doc_id) >= 5""",
 )
 def _(spark, d):
-    tokens = _doc_tokens(spark, d)
-    counts = textmine.term_counts(tokens, "doc_id", F.col("tokens"), (1, 3))
-    return textmine.vocabulary(counts, tokens, min_df=5)
+    docs, tokens = _doc_tokens(spark, d)
+    counts = textmine.term_counts(docs, "doc_id", tokens, (1, 3))
+    return textmine.vocabulary(counts, docs, min_df=5)
 
 
 @query(
@@ -221,9 +221,9 @@ def _(spark, d):
         ORDER BY total DESC, term LIMIT 500""",
 )
 def _(spark, d):
-    tokens = _doc_tokens(spark, d)
-    counts = textmine.term_counts(tokens, "doc_id", F.col("tokens"), (1, 2))
-    return textmine.vocabulary(counts, tokens, 5, 0.7, 500)
+    docs, tokens = _doc_tokens(spark, d)
+    counts = textmine.term_counts(docs, "doc_id", tokens, (1, 2))
+    return textmine.vocabulary(counts, docs, 5, 0.7, 500)
 
 
 @query(
@@ -235,10 +235,10 @@ def _(spark, d):
         SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM r""",
 )
 def _(spark, d):
-    tokens = _doc_tokens(spark, d)
-    counts = settle(textmine.term_counts(tokens, "doc_id", F.col("tokens")), "terms")
-    vocab = textmine.vocabulary(counts, tokens, 5, 0.7)
-    return textmine.tfidf(counts, vocab, tokens, "doc_id").withColumn("weight", F.round("weight", 6))
+    docs, tokens = _doc_tokens(spark, d)
+    counts = settle(textmine.term_counts(docs, "doc_id", tokens), "terms")
+    vocab = textmine.vocabulary(counts, docs, 5, 0.7)
+    return textmine.tfidf(counts, vocab, docs, "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 @query(
