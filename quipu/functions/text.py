@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
+from importlib import resources
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,8 +36,15 @@ QUESTION_KEYWORDS = {
 WORD = r"[\p{L}\p{N}_]"
 
 
+@functools.cache
+def _word_list(name: str) -> tuple[str, ...]:
+    lines = resources.files("quipu.functions").joinpath(name).read_text("utf-8").splitlines()
+    return tuple(line for line in lines if line and not line.startswith("#"))
+
+
 def spanish_stop_words() -> list[str]:
-    return StopWordsRemover.loadDefaultStopWords("spanish")
+    """The packaged public list; neither a session nor Spark's own files are needed."""
+    return list(_word_list("spanish_stop_words.txt"))
 
 
 def strip_punctuation(text: Column) -> Column:

@@ -2,13 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 import pandas as pd
-import pyspark
 from pyspark.sql import functions as F
 
 from quipu.functions import text
@@ -23,14 +17,6 @@ from quipu.sources.tables import read_table
 FIXTURE_KEYWORDS = ["que la", "the", "und", "les"]
 
 
-@functools.cache
-def _stop_words_from_jar() -> list[str]:
-    """Spark's Spanish list without a session, for the SQL side."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        return z.read("org/apache/spark/ml/feature/stopwords/spanish.txt").decode("utf-8").split("\n")
-
-
 def sql_list(words) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(words)) if w) + "]"
 
@@ -38,7 +24,7 @@ def sql_list(words) -> str:
 W = r"[\p{L}\p{N}_]"
 SQL_CLEAN = r"regexp_replace(lower({}), '[^\p{{L}}\p{{N}}_\s]', '', 'g')"
 SQL_TERMS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}_]{{2,}}')"
-_FORUM = sql_list(_stop_words_from_jar() + text.FORUM_STOP_WORDS)
+_FORUM = sql_list(text.spanish_stop_words() + text.FORUM_STOP_WORDS)
 SQL_POST_TOKENS = f"""{fx.SQL_POSTS},
 tokens AS (SELECT conv_id, turn, conv_id || '-' || turn AS post,
     list_filter(regexp_split_to_array({SQL_CLEAN.format('message')}, '\\s+'),
@@ -183,7 +169,7 @@ def _(spark, d):
     return counts.join(vocab.select("term"), "term", "left_semi").select("post", "term", "tf")
 
 
-_STOP = sql_list(_stop_words_from_jar() + text.RESOURCE_STOP_WORDS)
+_STOP = sql_list(text.spanish_stop_words() + text.RESOURCE_STOP_WORDS)
 SQL_DOC_TOKENS = f"""t AS (SELECT doc_id, list_filter({SQL_TERMS.format('text')}, lambda w: NOT list_contains({_STOP}, w)) AS t FROM documents)"""
 
 
@@ -244,7 +230,7 @@ def _(spark, d):
 @query(
     "word_freq",
     f"""WITH {fx.SQL_POSTS} SELECT term, count(*) AS n FROM (SELECT unnest({SQL_TERMS.format('message')}) AS term FROM posts)
-        WHERE NOT list_contains({sql_list(_stop_words_from_jar() + text.CLOUD_STOP_WORDS)}, term)
+        WHERE NOT list_contains({sql_list(text.spanish_stop_words() + text.CLOUD_STOP_WORDS)}, term)
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 200""",
 )
 def _(spark, d):
