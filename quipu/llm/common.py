@@ -36,3 +36,22 @@ def without_rows(docs: DataFrame, bad: DataFrame, keys: dict[str, Column]) -> Da
     right = bad.select(*[F.col(k).alias(f"{n}_bad") for n, k in names.items()])
     same = [left[n].eqNullSafe(right[f"{n}_bad"]) for n in names]
     return left.join(right, same, "left_anti").drop(*names)
+
+
+def keep_marked(docs: DataFrame, marked: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """The rows of ``docs`` that ``marked`` keeps, with all their columns.
+
+    ``marked`` has one row per row of ``docs`` that may go: the columns in ``keys``
+    and ``kept``.  Rows with equal keys are copies of each other, of which at most
+    one is kept; they are combined in the scan tasks before they are moved.
+    """
+    pairs = marked.groupBy(*keys).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    rest = without_rows(docs, pairs.where("NOT kept"), keys)
+    twins = pairs.where("kept AND n > 1").select(*keys)
+    if twins.isEmpty():
+        return rest
+    names = {f"__twin_{i}": k for i, k in enumerate(keys)}
+    named = docs.withColumns({n: keys[k] for n, k in names.items()}).dropDuplicates(list(names))
+    wanted = twins.select(*[F.col(k).alias(f"{n}_of") for n, k in names.items()])
+    same = [named[n].eqNullSafe(wanted[f"{n}_of"]) for n in names]
+    return without_rows(rest, twins, keys).unionByName(named.join(wanted, same, "left_semi").drop(*names))

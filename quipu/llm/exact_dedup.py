@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quipu.llm.common import column, lower_ascii, without_rows
+from quipu.llm.common import column, keep_marked, lower_ascii
 from quipu.operators.joins import broadcast_if_small
 from quipu.session import settle
 
@@ -93,18 +93,5 @@ def mark(
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     marked = settle(mark(docs, key, text).where("group_size > 1"), "op4-marked")
-    own = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    losers = marked.where(~own).select("doc_id", "text_key").distinct()
-    twins = marked.where(own & ~F.col("kept")).select("doc_id", "text_key").distinct()
     keys = {"doc_id": column(docs, key), "text_key": F.xxhash64(lower_ascii(column(docs, text)))}
-    rest = without_rows(docs, losers, keys)
-    if twins.isEmpty():
-        return rest
-    # Rows that repeat both id and text: combined in the scan task before they are moved.
-    single = without_rows(docs, marked.select("doc_id", "text_key").where(own).distinct(), keys)
-    single = without_rows(single, losers, keys)
-    named = docs.withColumns({"__id": keys["doc_id"], "__text": keys["text_key"]})
-    kept = marked.where("kept").select(F.col("doc_id").alias("__kid"), F.col("text_key").alias("__ktext"))
-    same = named["__id"].eqNullSafe(kept["__kid"]) & (named["__text"] == kept["__ktext"])
-    repeated = named.dropDuplicates(["__id", "__text"]).join(kept, same, "left_semi").drop("__id", "__text")
-    return single.unionByName(repeated)
+    return keep_marked(docs, marked, keys)

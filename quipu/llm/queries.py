@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontaminate, exact_dedup, sharding, url_filter
+from quipu.llm import decontaminate, exact_dedup, sharding, simhash, tokens, url_filter
 from quipu.llm.common import WORD
 from quipu.sources.tables import read_table
 
@@ -79,3 +79,15 @@ def _(spark, d):
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
     items = read_table(spark, d, "benchmark", ["item_id", "text"])
     return decontaminate.judge(docs, items).drop("text_key")
+
+
+@query("op6_byte_bpe")
+def _(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return tokens.digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op10_simhash")
+def _(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return simhash.mark(docs).select("doc_id", "fingerprint", "component_id")
