@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontaminate, exact_dedup, sharding, simhash, tokens, url_filter
+from quipu.llm import decontaminate, exact_dedup, quality, sharding, simhash, tokens, url_filter
 from quipu.llm.common import WORD
 from quipu.sources.tables import read_table
 
@@ -48,6 +48,18 @@ def _(spark, d):
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op3_quality_classifier")
+def _(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    trees = quality.fit(docs, read_table(spark, d, "labels", ["doc_id", "quality"]))
+    scored = docs.select(
+        "doc_id",
+        F.coalesce(quality.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        quality.score(F.col("text"), trees).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 @query(
     "op4_exact_dedup",
     f"""WITH t AS (SELECT doc_id, {SQL_LOWER} AS norm FROM documents)
