@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontaminate, exact_dedup, quality, sharding, simhash, tokens, url_filter
+from quipu.llm import decontaminate, exact_dedup, html_extract, quality, sharding, simhash, tokens, url_filter
 from quipu.llm.common import WORD
 from quipu.sources.tables import read_table
 
@@ -93,6 +93,11 @@ def _(spark, d):
     return decontaminate.judge(docs, items).drop("text_key")
 
 
+@query("op5_html_extraction")
+def _(spark, d):
+    return html_extract.extract(read_table(spark, d, "pages", ["page_id", "url", "html"]))
+
+
 @query("op6_byte_bpe")
 def _(spark, d):
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
