@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontaminate, exact_dedup, html_extract, quality, sharding, simhash, tokens, url_filter
+from quipu.llm import decontaminate, exact_dedup, html_extract, licenses, pii, quality, sharding, simhash, tokens, url_filter
 from quipu.llm.common import WORD
 from quipu.sources.tables import read_table
 
@@ -104,6 +104,22 @@ def _(spark, d):
     return tokens.digests(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query("op8_license_scan")
+def _(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    found = docs.select("doc_id", licenses.scan_column(F.col("text")).alias("scan"))
+    return found.select("doc_id", "scan.*").drop("spans")
+
+
+@query("op9_pii")
+def _(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    found = docs.select("doc_id", pii.find(F.col("text"), pii.fit(docs)).alias("found"))
+    return found.select(
+        "doc_id", *[f"found.n_{kind}" for kind in pii.KINDS], "found.base_sha256", F.col("found.listed").alias("spans")
+    )
+
+
 @query("op10_simhash")
 def _(spark, d):
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
