@@ -77,6 +77,8 @@ def _segments(parts: int) -> list[tuple[int, int]]:
 
 def _cut(value: Column, segment: tuple[int, int]) -> Column:
     shift, width = segment
+    if width == 64:
+        return value
     return F.shiftrightunsigned(value, shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
