@@ -84,7 +84,7 @@ def scan(
             rows = near.where("at = 0").select("row", "doc_id", "text_key", "n_words") if rows is None else rows
             for length in of_q:
                 parts.append(_verified(near, texts.where(F.col("length") == length), length, q, broadcast))
-    hits = parts[0] if parts else rows.select("row", "at", F.lit(0).alias("length"), F.lit("").alias("window")).limit(0)
+    hits = parts[0] if parts else rows.select("row", *[F.lit(0).alias(c) for c in ("at", "length")], F.lit("").alias("window")).limit(0)
     for more in parts[1:]:
         hits = hits.unionByName(more)
     return rows, settle(hits.distinct(), "op7-hits"), known

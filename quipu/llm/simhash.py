@@ -112,7 +112,7 @@ def _forest(max_bits: int):
     """Links of one tile, as a forest that joins what the links join."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        a, b = left["fp"].to_numpy(np.int64), right["fp"].to_numpy(np.int64)
+        a, b = left["a"].to_numpy(np.int64), right["b"].to_numpy(np.int64)
         near = np.bitwise_count((a[:, None] ^ b[None, :]).view(np.uint64)) <= max_bits
         root: dict[int, int] = {}
 
@@ -161,13 +161,13 @@ def _tiled(plain: DataFrame, flipped: DataFrame, crowded: DataFrame, max_bits: i
     )
     sizes = settle(sizes, "op10-tiles")
 
-    def spread(df: DataFrame, own: str, other: str) -> DataFrame:
+    def spread(df: DataFrame, name: str, own: str, other: str) -> DataFrame:
         mine = F.pmod(F.xxhash64("fp"), F.col(own)).cast("int").alias(f"t_{own}")
         across = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"t_{other}")
-        return df.join(sizes, on).select("fp", *on, mine, across)
+        return df.join(sizes, on).select(F.col("fp").alias(name), *on, mine, across)
 
     tile = [*on, "t_rows", "t_cols"]
-    left, right = spread(plain, "rows", "cols"), spread(flipped, "cols", "rows")
+    left, right = spread(plain, "a", "rows", "cols"), spread(flipped, "b", "cols", "rows")
     return left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(_forest(max_bits), "a long, b long")
 
 
