@@ -9,7 +9,9 @@ and neither side is broadcast or held whole anywhere.
 Blocks are large, because every row is sent once per block of the other side.
 Only when there would be fewer blocks than tasks is the left side cut finer.
 
-A vector is ``val`` alone (dense), or ``idx`` with ``val`` (sparse).
+A vector is ``val`` alone (dense), or ``idx`` with ``val`` (sparse).  Blocks hold a
+bounded number of rows and, by the mean length of the vectors, of cells.  Keys may
+be whole numbers or text; other types are compared as text.
 """
 
 from __future__ import annotations
@@ -20,11 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from quipu.session import settle, task_count
 
 BLOCK_ROWS = 32_768
 FINEST_ROWS = 512
+BLOCK_CELLS = 40_000_000  # values of one block, about 0.5 GB with their positions
 SLICE_CELLS = 8_000_000  # cells of one dense set of vectors inside a task
 SCORE_CELLS = 500_000  # cells of one slice of scores, small enough for the processor cache
 DIGITS = 9  # scores are ranked at this many decimals, so equal vectors tie exactly
@@ -34,10 +38,20 @@ def _block(column: str, blocks: int) -> Column:
     return F.pmod(F.xxhash64(F.col(column)), F.lit(blocks)).cast("int")
 
 
-def _vectors(df: DataFrame, key: str, tag: str | None) -> DataFrame:
+def _key_type(*sides: tuple[DataFrame, str]) -> str:
+    """``bigint`` if the keys of all sides are whole numbers, else ``string``."""
+    whole = all(isinstance(df.schema[key].dataType, (ByteType, ShortType, IntegerType, LongType)) for df, key in sides)
+    return "bigint" if whole else "string"
+
+
+def _as_given(column: str, df: DataFrame, key: str) -> Column:
+    return F.col(column).cast(df.schema[key].dataType).alias(key)
+
+
+def _vectors(df: DataFrame, key: str, tag: str | None, kind: str) -> DataFrame:
     idx = F.col("idx").cast("array<int>") if "idx" in df.columns else F.lit(None).cast("array<int>")
     return df.select(
-        F.col(key).cast("bigint").alias("id"),
+        F.col(key).cast(kind).alias("id"),
         (F.col(tag).cast("bigint") if tag else F.lit(None).cast("bigint")).alias("tag"),
         idx.alias("idx"),
         F.col("val").cast("array<double>").alias("val"),
@@ -46,10 +60,13 @@ def _vectors(df: DataFrame, key: str, tag: str | None) -> DataFrame:
 
 def _grid(left: DataFrame, right: DataFrame, rows: int) -> tuple[int, int, int]:
     """Blocks on the left, blocks on the right, shuffle partitions."""
-    spark, n_left, n_right = left.sparkSession, left.count(), right.count()
-    blocks_right = max(1, -(-n_right // rows))
+    spark = left.sparkSession
+    size = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("val").cast("bigint")), F.lit(0)).alias("cells")]
+    (n_left, cells_left), (n_right, cells_right) = left.agg(*size).first(), right.agg(*size).first()
+    blocks_right = max(1, -(-n_right // rows), -(-cells_right // BLOCK_CELLS))
     wanted = -(-2 * task_count(spark) // blocks_right)
-    blocks_left = max(1, -(-n_left // rows), min(wanted, -(-n_left // FINEST_ROWS)) if rows == BLOCK_ROWS else 1)
+    blocks_left = max(1, -(-n_left // rows), -(-cells_left // BLOCK_CELLS))
+    blocks_left = max(blocks_left, min(wanted, -(-n_left // FINEST_ROWS)) if rows == BLOCK_ROWS else 1)
     pairs = blocks_left * blocks_right
     return blocks_left, blocks_right, pairs if pairs <= 20_000 else 20_000
 
@@ -69,7 +86,7 @@ def _cogroup(
         _block("id", n_left).alias("lb"),
         F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))).alias("rb"),
         "id",
-        F.lit(None).cast("bigint").alias("other"),
+        F.lit(None).cast(left.schema["id"].dataType).alias("other"),
         "tag",
         "idx",
         "val",
@@ -86,8 +103,9 @@ def _cogroup(
         )
         rows = rows.unionByName(asked)
     columns = right.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_left - 1))).alias("lb"), _block("id", n_right).alias("rb"),
-        "id", "tag", "idx", "val",
+        F.explode(F.sequence(F.lit(0), F.lit(n_left - 1))).alias("lb"),
+        _block("id", n_right).alias("rb"),
+        *[F.col(c).alias(f"r_{c}") for c in ("id", "tag", "idx", "val")],  # both sides may be the same frame
     )
 
     def read(table: pa.Table) -> dict:
@@ -109,6 +127,7 @@ def _cogroup(
         }
 
     def run(lt: pa.Table, rt: pa.Table) -> pa.Table:
+        rt = rt.rename_columns([c.removeprefix("r_") for c in rt.column_names])
         is_pair = lt["other"].is_valid().to_numpy()
         a, b = read(lt.filter(pa.array(~is_pair))), read(rt)
         # Only features that occur on both sides matter to a product.
@@ -184,10 +203,13 @@ def block_topk(
     smaller right key.  With ``extremes`` the frame also has ``low`` and
     ``high``, the least and greatest score over all pairs before exclusion.
     """
-    left_v, right_v = settle(_vectors(left, left_key, None), "left"), settle(_vectors(right, right_key, None), "right")
+    kind = _key_type((left, left_key), (right, right_key))
+    id_type = pa.int64() if kind == "bigint" else pa.string()
+    left_v = settle(_vectors(left, left_key, None, kind), "left")
+    right_v = settle(_vectors(right, right_key, None, kind), "right")
     pairs = None
     if exclude is not None:
-        pairs = exclude.select(F.col(left_key).cast("bigint").alias("id"), F.col(right_key).cast("bigint").alias("other"))
+        pairs = exclude.select(F.col(left_key).cast(kind).alias("id"), F.col(right_key).cast(kind).alias("other"))
     digits = DIGITS
 
     def kernel(a, b, dense, products, slices, asked, width):
@@ -212,9 +234,9 @@ def block_topk(
             scores.append(raw[r, c])
 
         def column(parts, kind):
-            return pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
+            return pa.array(np.concatenate(parts) if parts else [], kind)
 
-        out = [column(ids, pa.int64()), column(others, pa.int64()), column(scores, pa.float64())]
+        out = [column(ids, id_type), column(others, id_type), column(scores, pa.float64())]
         names = ["id", "other", "score"]
         if extremes:
             # One more row carries the extremes of this pair of blocks.
@@ -225,13 +247,13 @@ def block_topk(
             names += ["low", "high"]
         return pa.table(out, names=names)
 
-    schema = "id bigint, other bigint, score double" + (", low double, high double" if extremes else "")
+    schema = f"id {kind}, other {kind}, score double" + (", low double, high double" if extremes else "")
     scored = _cogroup(left_v, right_v, pairs, kernel, schema, block_rows)
     best = Window.partitionBy("id").orderBy(F.desc(F.round("score", DIGITS)), "other")
     if extremes:
         scored = settle(scored, "scored")
     found = scored.where("other IS NOT NULL").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    named = [F.col("id").alias(left_key), F.col("other").alias(right_key), F.col("score")]
+    named = [_as_given("id", left, left_key), _as_given("other", right, right_key), F.col("score")]
     if not extremes:
         return found.select(*named)
     low, high = scored.agg(F.min("low")).scalar(), scored.agg(F.max("high")).scalar()
@@ -242,8 +264,11 @@ def block_scores(
     left: DataFrame, right: DataFrame, pairs: DataFrame, left_key: str, right_key: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Product of the two vectors for each requested pair; pairs without both vectors are absent."""
-    left_v, right_v = settle(_vectors(left, left_key, None), "left"), settle(_vectors(right, right_key, None), "right")
-    asked = pairs.select(F.col(left_key).cast("bigint").alias("id"), F.col(right_key).cast("bigint").alias("other"))
+    kind = _key_type((left, left_key), (right, right_key))
+    id_type = pa.int64() if kind == "bigint" else pa.string()
+    left_v = settle(_vectors(left, left_key, None, kind), "left")
+    right_v = settle(_vectors(right, right_key, None, kind), "right")
+    asked = pairs.select(F.col(left_key).cast(kind).alias("id"), F.col(right_key).cast(kind).alias("other"))
 
     def kernel(a, b, dense, products, slices, wanted, width):
         r, c = wanted
@@ -265,16 +290,19 @@ def block_scores(
                 weights = b["flat"][cell] * mine[r[at:stop][pair] - first, b["at"][cell]]
                 scores[at:stop] = np.bincount(pair, weights=weights, minlength=stop - at)
                 at = stop
-        return pa.table([pa.array(a["ids"][r], pa.int64()), pa.array(b["ids"][c], pa.int64()), pa.array(scores)], names=["id", "other", "score"])
+        ids = [pa.array(a["ids"][r], id_type), pa.array(b["ids"][c], id_type)]
+        return pa.table([*ids, pa.array(scores)], names=["id", "other", "score"])
 
     budget = SLICE_CELLS
-    out = _cogroup(left_v, right_v, asked, kernel, "id bigint, other bigint, score double", block_rows)
-    return out.select(F.col("id").alias(left_key), F.col("other").alias(right_key), "score")
+    out = _cogroup(left_v, right_v, asked, kernel, f"id {kind}, other {kind}, score double", block_rows)
+    return out.select(_as_given("id", left, left_key), _as_given("other", right, right_key), "score")
 
 
 def block_distance_sums(points: DataFrame, key: str, group: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Sum of Euclidean distances from every point to the points of each group: (key, group, total)."""
-    vectors = settle(_vectors(points, key, group), "points")
+    kind = _key_type((points, key))
+    id_type = pa.int64() if kind == "bigint" else pa.string()
+    vectors = settle(_vectors(points, key, group, kind), "points")
 
     def kernel(a, b, dense, products, slices, asked, width):
         groups, at = np.unique(b["tags"], return_inverse=True)
@@ -290,11 +318,11 @@ def block_distance_sums(points: DataFrame, key: str, group: str, block_rows: int
             parts.append((dist @ onto).ravel())
 
         def column(values, kind):
-            return pa.array(np.concatenate(values) if values else np.zeros(0), kind)
+            return pa.array(np.concatenate(values) if values else [], kind)
 
         return pa.table(
-            [column(ids, pa.int64()), column(grps, pa.int64()), column(parts, pa.float64())], names=["id", "grp", "part"]
+            [column(ids, id_type), column(grps, pa.int64()), column(parts, pa.float64())], names=["id", "grp", "part"]
         )
 
-    parts = _cogroup(vectors, vectors, None, kernel, "id bigint, grp bigint, part double", block_rows)
-    return parts.groupBy(F.col("id").alias(key), F.col("grp").alias(group)).agg(F.sum("part").alias("total"))
+    parts = _cogroup(vectors, vectors, None, kernel, f"id {kind}, grp bigint, part double", block_rows)
+    return parts.groupBy(_as_given("id", points, key), F.col("grp").alias(group)).agg(F.sum("part").alias("total"))

@@ -121,20 +121,43 @@ def silhouette_exact(df: DataFrame, key: str, label: str, vector: str) -> DataFr
     return per_point.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
 
 
+def block_fit(df: DataFrame, key: str, vector: str, size: int, k: int, blocks: int = 4, passes: int = 2) -> list[list[float]]:
+    """Centres of the mini-batch solver.
+
+    Rows fall into blocks by the hash of their key.  Each block in turn moves the
+    centres to the mean of all rows they have met, so a pass reads every row once.
+    Only the centres, ``k`` rows of ``size`` numbers, are on the driver.
+    """
+    points = df.select(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("__block"), F.col(vector).alias("val"))
+    start = points.groupBy("val").agg(F.min(F.xxhash64("val")).alias("h")).orderBy("h", "val").limit(k)
+    centers = [list(map(float, r["val"])) for r in start.collect()]
+    met = [0] * len(centers)
+    for turn in range(passes * blocks):
+        near = points.where(F.col("__block") == turn % blocks).select(nearest_center(F.col("val"), centers).alias("c"), "val")
+        sums = near.groupBy("c").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("val")[i]).alias(f"s{i}") for i in range(size)])
+        for r in sums.collect():
+            at = r["c"] - 1
+            met[at] += r["n"]
+            # The running mean: what is new weighs as much as what was met before.
+            centers[at] = [c + (r[f"s{i}"] - r["n"] * c) / met[at] for i, c in enumerate(centers[at])]
+    return centers
+
+
 def compare_clusterings(
-    df: DataFrame, key: str, columns: Sequence[str], ks: Sequence[int] = range(3, 7), seed: int = 1, fraction: float = 0.3
+    df: DataFrame, key: str, columns: Sequence[str], ks: Sequence[int] = range(3, 7), seed: int = 1
 ) -> DataFrame:
-    """Davies-Bouldin and silhouette for several k, fitted on all rows and on a sample of them.
+    """Davies-Bouldin and silhouette for several k, by the full and by the block-wise solver.
 
-    The sampled fit stands for the mini-batch solver; both are judged on all rows.
+    Both solvers fit on all rows and are judged on all rows.
     """
     base = feature_vector(df, columns).select(key, "features", F.array(*[F.col(c).cast("double") for c in columns]).alias("val"))
     base = spill_cache(base)
     rows = []
     try:
         for k in ks:
-            for solver, part in (("full", base), ("sampled", base.sample(fraction, seed=seed + 1))):
-                labelled = kmeans_assign(kmeans_fit(part, k, seed), base)
+            blockwise = nearest_center(F.col("val"), block_fit(base, key, "val", len(columns), k))
+            fitted = {"full": kmeans_assign(kmeans_fit(base, k, seed), base), "blocks": base.withColumn("cluster", blockwise)}
+            for solver, labelled in fitted.items():
                 db = davies_bouldin(labelled, "cluster", "val", len(columns)).first()[0]
                 rows.append((k, solver, float(db), float(silhouette_squared(labelled, "features", "cluster"))))
     finally:

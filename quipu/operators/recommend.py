@@ -87,10 +87,21 @@ def most_downloaded(actions: DataFrame, catalog: DataFrame, own_counter: str, n:
     return sums.join(catalog, "item_id").orderBy(F.desc(own_counter), "item_id").limit(n)
 
 
-def history(ratings: DataFrame, catalog: DataFrame, user: object | None = None) -> DataFrame:
-    """What users interacted with, with the catalogue columns; one user or all."""
+def history(
+    ratings: DataFrame, catalog: DataFrame, user: object | None = None, split: str = "all", value: str = "score"
+) -> DataFrame:
+    """What users interacted with, with the catalogue columns; one user or all.
+
+    ``split`` takes the training or the held-out part of ``evaluate.holdout_split``
+    (``"train"``, ``"test"``), or ``"all"``.  One user's rows come strongest first.
+    """
+    if split not in ("all", "train", "test"):
+        raise ValueError(f"no such split: {split}")
     chosen = ratings if user is None else ratings.where(F.col("user_id") == F.lit(user))
-    return chosen.join(catalog, "item_id", "left")
+    if split != "all":
+        chosen = chosen.where(F.col("is_test") == F.lit(split == "test"))
+    named = chosen.join(catalog, "item_id", "left")
+    return named if user is None else named.orderBy(F.desc(value), "item_id")
 
 
 def unseen_items(ratings: DataFrame, catalog: DataFrame, user: object) -> DataFrame:
@@ -139,22 +150,25 @@ class FactorModel:
 
 
 class ContentModel:
-    """Cosine between the weighted profile of a user and the text of an item."""
+    """Cosine between the weighted profile of a user and the text of an item.
+
+    Users and items without any vocabulary term score 0 with everything.
+    ``limits`` are those of ``similarity.item_weights``: min_df, max_df, max_features, runs.
+    """
 
     name = "content"
 
-    def __init__(self, tokens: Column, weighted: bool = True):
-        self.tokens, self.weighted = tokens, weighted
+    def __init__(self, tokens: Column, weighted: bool = True, **limits):
+        self.tokens, self.weighted, self.limits = tokens, weighted, limits
 
     def fit(self, ratings: DataFrame, catalog: DataFrame) -> "ContentModel":
-        weights, vocab = similarity.item_weights(catalog, self.tokens)
+        weights, vocab = similarity.item_weights(catalog, self.tokens, **self.limits)
         self.positions = settle(term_positions(vocab), "positions")
-        self.vectors = settle(similarity.pack(weights, self.positions, "item_id"), "vectors")
+        packed = similarity.pack(weights, self.positions, "item_id")
+        self.vectors = settle(similarity.with_blanks(packed, catalog, "item_id"), "vectors")
         strength = "score" if self.weighted else None
-        self.profiles = settle(
-            similarity.packed_profiles(similarity.user_profiles(ratings, self.vectors, strength, normalise=True)),
-            "profiles",
-        )
+        profiles = similarity.packed_profiles(similarity.user_profiles(ratings, packed, strength, normalise=True))
+        self.profiles = settle(similarity.with_blanks(profiles, ratings, "user_id"), "profiles")
         self.catalog = catalog
         return self
 

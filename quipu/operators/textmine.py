@@ -14,13 +14,14 @@ from quipu.operators.indexing import dense_index
 def term_counts(docs: DataFrame, key: str, tokens: Column, runs: tuple[int, int] = (1, 1)) -> DataFrame:
     """(key, term, tf), where terms are runs of ``runs[0]`` to ``runs[1]`` tokens.
 
-    Whole documents are placed by key before they are cut into tokens, so
-    counting and every later step per document stay in the same partition, and
-    a few large input files do not limit the number of tasks.
+    Texts are cut and their terms counted in the scan task; only (key, term, count)
+    rows are shuffled.  The outer form of the explode keeps the optimizer from adding
+    a filter that would cut every text once more.
     """
-    placed = docs.repartition(key).select(key, tokens.alias("tokens"))
+    cut = docs.select(key, tokens.alias("tokens"))
     terms = F.col("tokens") if runs == (1, 1) else text.ngrams(F.col("tokens"), *runs)
-    return placed.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    spread = cut.select(key, F.explode_outer(terms).alias("term")).where(F.col("term").isNotNull())
+    return spread.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(

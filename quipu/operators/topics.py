@@ -28,10 +28,10 @@ def fit_topics(
 ) -> PipelineModel:
     """Vocabulary and topic model together, so that scoring uses the terms of the fit.
 
-    One-letter words are no terms.
+    One-letter words are no terms.  Every round reads every post.
     """
     counts = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary)
-    lda = LDA(k=topics, seed=seed, featuresCol="bag", maxIter=rounds)
+    lda = LDA(k=topics, seed=seed, featuresCol="bag", maxIter=rounds, subsamplingRate=1.0)
     return Pipeline(stages=[counts, lda]).fit(as_terms(tokens))
 
 

@@ -1,4 +1,8 @@
-"""The three batch jobs, from input frames to the rows they publish."""
+"""The three batch jobs, from input frames to the rows they publish.
+
+With ``publish_to`` a job ends in a full refresh of that folder and returns the
+published rows; without it the rows are only returned.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,16 @@ from quipu.functions.scores import band
 from quipu.operators import cluster, factorize, recommend, topics
 from quipu.operators.prep import prepare_interactions, standardize
 from quipu.operators.reshape import pivot_mean
+from quipu.operators.textmine import tokens_with_lemmas
+from quipu.session import settle
+from quipu.sources import sinks
+
+
+def _published(rows: DataFrame, path: str | None) -> DataFrame:
+    if path is None:
+        return rows
+    sinks.full_refresh(rows, path)
+    return sinks.read_current(rows.sparkSession, path)
 
 
 def recommend_job(
@@ -22,6 +36,7 @@ def recommend_job(
     run_date: Column | None = None,
     n: int = 3,
     n_cold: int = 5,
+    publish_to: str | None = None,
 ) -> DataFrame:
     """Nightly recommendations: (item_id, user_id, score, run_date).
 
@@ -34,7 +49,7 @@ def recommend_job(
     personal = factorize.recommend_all(ratings, "score", factors, len(sigma), completions, n).select(
         "item_id", F.col("user_id").cast("string").alias("user_id"), "score", stamp.alias("run_date")
     )
-    return personal.unionByName(recommend.cold_start(ratings, stamp, n_cold))
+    return _published(personal.unionByName(recommend.cold_start(ratings, stamp, n_cold)), publish_to)
 
 
 def segment_job(
@@ -44,6 +59,7 @@ def segment_job(
     centers: Sequence[Sequence[float]],
     scaler: dict[str, tuple[float, float]] | None = None,
     run_date: Column | None = None,
+    publish_to: str | None = None,
 ) -> DataFrame:
     """Learner segments: scores and bands per quiz, the closest stored centre, and the date.
 
@@ -55,9 +71,10 @@ def segment_job(
     features = [*quizzes, *[f"band_{q}" for q in quizzes]]
     scaled = standardize(table, features, scaler)
     vector = F.array(*[F.col(f"{c}_z") for c in features])
-    return scaled.select(
+    segments = scaled.select(
         *keys, *features, cluster.nearest_center(vector, centers).alias("cluster"), stamp.alias("report_date")
     )
+    return _published(segments, publish_to)
 
 
 def segment_features(grades: DataFrame, keys: Sequence[str], quizzes: Sequence[str]) -> DataFrame:
@@ -72,10 +89,22 @@ def topics_job(
     columns: Sequence[str],
     stop_words: Sequence[str],
     model: PipelineModel | None = None,
+    lemmas: DataFrame | None = None,
+    publish_to: str | None = None,
 ) -> tuple[DataFrame, PipelineModel]:
-    """Topic of every post: the given columns, the cleaned text and the topic number."""
-    tokens = topics.forum_tokens(posts, message, stop_words)
+    """Topic of every post: the given columns, the cleaned text and the topic number.
+
+    ``lemmas`` is (form, lemma); tokens it knows are replaced by their base form.
+    Posts are cut into tokens once and every later step reads the written tokens.
+    """
+    tokens = topics.forum_tokens(posts, message, stop_words).select(*columns, "tokens")
+    if lemmas is not None:
+        numbered = settle(tokens.withColumn("__post", F.monotonically_increasing_id()), "numbered")
+        base = tokens_with_lemmas(numbered, "__post", F.col("tokens"), lemmas)
+        tokens = numbered.drop("tokens").join(base, "__post").drop("__post")
+    tokens = settle(tokens, "tokens")
     if model is None:
         model = topics.fit_topics(tokens)
     scored = topics.assign_topics(model, tokens)
-    return scored.select(*columns, F.array_join("tokens", " ").alias("clean_message"), "topic"), model
+    rows = scored.select(*columns, F.array_join("tokens", " ").alias("clean_message"), "topic")
+    return _published(rows, publish_to), model

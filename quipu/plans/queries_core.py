@@ -63,7 +63,7 @@ def _(spark, d):
     path = scratch_path(spark, "target")
     sinks.full_refresh(fx.pairs(spark, d).groupBy("item_id").agg(F.lit(0).cast("bigint").alias("n_users")), path)
     sinks.full_refresh(profile.item_support(fx.pairs(spark, d)), path)
-    return spark.read.parquet(path)
+    return sinks.read_current(spark, path)
 
 
 # --- projections, filters, predicates ---------------------------------------
@@ -132,7 +132,20 @@ def _(spark, d):
     return read_table(spark, d, "labels").select("doc_id", prep.recode(F.col("quality"), 1).alias("passed"))
 
 
-@query("schema_profile")
+_LINE_TYPES = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+    "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+    "l_shipdate": "timestamp_ntz",
+}
+
+
+@query(
+    "schema_profile",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS column_type, count({c}) AS n_present FROM lineitem"
+        for c, t in _LINE_TYPES.items()
+    ),
+)
 def _(spark, d):
     return profile.schema_profile(read_table(spark, d, "lineitem"))
 
@@ -638,8 +651,18 @@ def _(spark, d):
     return seen.select("user_id", "item_id", F.col("score").cast("bigint").alias("score"), "name", "kind", "brand")
 
 
-@query("user_vectors")
+@query(
+    "user_vectors",
+    f"""WITH {fx.SQL_RATINGS}, items AS (
+          SELECT item_id, row_number() OVER (ORDER BY ('0x' || substr(md5(item_id::VARCHAR), 1, 8))::BIGINT % 1024, item_id) - 1 AS pos
+          FROM (SELECT DISTINCT item_id FROM ratings))
+        SELECT user_id, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS indices,
+               string_agg(score::BIGINT::VARCHAR, ',' ORDER BY pos) AS "values"
+        FROM ratings JOIN items USING (item_id) GROUP BY 1""",
+)
 def _(spark, d):
     ratings = fx.ratings(spark, d)
     items = dense_index(ratings.select("item_id").distinct(), "item_id", "item_pos")
-    return reshape.user_rows(ratings.join(items, "item_id"), "score")
+    rows = reshape.user_rows(ratings.join(items, "item_id"), "score")
+    whole = F.transform("values", lambda v: v.cast("bigint"))
+    return rows.select("user_id", F.array_join("indices", ",").alias("indices"), F.array_join(whole, ",").alias("values"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from quipu.functions import text
 from quipu.operators import cluster, evaluate, factorize, joins, prep, recommend, similarity, textmine
-from quipu.operators.blocks import block_topk
 from quipu.plans import fixtures as fx
 from quipu.plans import jobs
 from quipu.plans.registry import query
@@ -191,8 +190,9 @@ full_scores AS (
 )
 def _(spark, d):
     vectors, _ = _vectors(spark, d)
-    profiles = similarity.user_profiles(fx.ratings(spark, d), vectors, "score", normalise=True)
-    best = block_topk(similarity.packed_profiles(profiles), vectors, 10, "user_id", "item_id")
+    ratings = settle(fx.ratings(spark, d), "ratings")
+    profiles = similarity.user_profiles(ratings, vectors, "score", normalise=True)
+    best = similarity.content_recommend(profiles, vectors, 10, ratings, fx.catalog(spark, d))
     return best.withColumn("score", r6("score"))
 
 
@@ -208,7 +208,7 @@ def _(spark, d):
     vectors, _ = _vectors(spark, d)
     ratings = settle(fx.ratings(spark, d), "ratings")
     profiles = similarity.user_profiles(ratings, vectors, None, normalise=True)
-    best = similarity.content_recommend(profiles, vectors, ratings, 5, fx.catalog(spark, d))
+    best = similarity.content_recommend(profiles, vectors, 5, ratings, fx.catalog(spark, d), seen=ratings)
     return best.withColumn("score", r6("score"))
 
 
@@ -387,6 +387,13 @@ def _(spark, d):
     return evaluate.rmse(ratings, predicted).withColumn("rmse", r6("rmse"))
 
 
+@query("rmse_factor_model")
+def _(spark, d):
+    ratings = settle(fx.ratings(spark, d).select("user_id", "item_id", "score"), "ratings")
+    model = recommend.FactorModel().fit(ratings, fx.catalog(spark, d))
+    return evaluate.rmse(ratings, model.score(ratings.select("user_id", "item_id"))).withColumn("rmse", r6("rmse"))
+
+
 # --- segmentation ------------------------------------------------------------
 
 FEATURES = [*fx.EVENT_TYPES, *[f"band_{q}" for q in fx.EVENT_TYPES]]

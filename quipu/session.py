@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.storagelevel import StorageLevel
 
 _LOCAL_SCRATCH: list[str] = []
+_WRITTEN: list[str] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only a local session
-    without that setting falls back to a temporary folder.
+    without that setting falls back to a temporary folder, which goes when the
+    process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -25,11 +31,30 @@ def scratch_dir(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if not _LOCAL_SCRATCH:
         _LOCAL_SCRATCH.append(tempfile.mkdtemp(prefix="quipu-"))
+        atexit.register(shutil.rmtree, _LOCAL_SCRATCH[0], ignore_errors=True)
     return _LOCAL_SCRATCH[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return os.path.join(scratch_dir(spark), f"quipu-{label}-{uuid.uuid4().hex}")
+    path = os.path.join(scratch_dir(spark), f"quipu-{label}-{uuid.uuid4().hex}")
+    _WRITTEN.append(path)
+    return path
+
+
+@contextmanager
+def scratch_job(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what the job inside has written to the shared folder.
+
+    The job's results must be written elsewhere by then, for instance published.
+    """
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        for path in _WRITTEN[before:]:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        del _WRITTEN[before:]
 
 
 def settle(df: DataFrame, label: str = "step") -> DataFrame:
