@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.operators.indexing import dense_index, hash_number
@@ -61,6 +61,17 @@ def next_prime(n: int) -> int:
     return p
 
 
+def _inverse(step: Column, prime: int) -> Column:
+    """The number whose product with ``step`` is 1 modulo a prime below 2^31, by Fermat's little theorem."""
+    bits = F.array(*[F.lit(int(b)) for b in bin(prime - 2)[2:]])
+
+    def square(power: Column, bit: Column) -> Column:
+        twice = power * power % prime
+        return F.when(bit == 1, twice * step % prime).otherwise(twice)
+
+    return F.aggregate(bits, F.lit(1).cast("bigint"), square)
+
+
 def negative_samples(
     test: DataFrame, seen: DataFrame, items: DataFrame, n: int, seed: int = SPLIT_SEED
 ) -> DataFrame:
@@ -69,12 +80,15 @@ def negative_samples(
     Each pair walks the item positions from a hashed start by a hashed step,
     modulo a prime, so no item comes twice and all are reached in the end.  The
     first ``n`` unseen items of the walk are the sample (all of them, if the
-    user has fewer left).  A walk is first as long as it should need to be;
-    pairs that come up short go on with walks twice as long.
+    user has fewer left).  A walk is first as long as it should need to be; pairs
+    that come up short go on from where they stopped.  Users with few unseen items
+    list these once, and each pair sorts that short list by its place in the walk.
     """
     positions = settle(dense_index(items.select("item_id").distinct(), "item_id", "pos"), "positions")
     total = positions.count()
     prime = next_prime(total)
+    if prime >= 2**31:
+        raise ValueError("positions of more than 2^31 items are not walked")
     key = [F.lit(seed), F.col("user_id"), F.col("item_id")]
     known = settle(seen.select("user_id", "item_id").distinct(), "seen")
     n_seen = known.join(positions, "item_id", "left_semi").groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
@@ -83,47 +97,62 @@ def negative_samples(
     # Expected steps to meet that many unseen items, plus four deviations.
     miss = 1 - left / F.lit(prime)
     steps = (need + 4 * F.sqrt(need * miss)) * prime / F.greatest(left, F.lit(1)) + 3
-    pending = settle(
+    walks = settle(
         test.select("user_id", "item_id").distinct().join(n_seen, "user_id", "left").select(
             "user_id",
             "item_id",
             need.alias("need"),
             (hash_number(*key) % prime).alias("start"),
             (hash_number(*key, start=9) % (prime - 1) + 1).alias("step"),
+            (left <= 4 * n).alias("few"),
+            F.lit(0).cast("bigint").alias("first"),
             F.least(F.lit(prime), F.ceil(steps)).cast("bigint").alias("reach"),
+            F.lit(0).cast("bigint").alias("had"),
         ).where("need > 0"),
-        "pending",
+        "walks",
     )
-    done = None
-    while True:
+    done = _from_rest(walks.where("few"), known, positions, prime)
+    pending = walks.where("NOT few").drop("few")
+    of_pair = Window.partitionBy("user_id", "item_id").orderBy("j")
+    while not pending.isEmpty():
         walk = pending.select(
-            "user_id", "item_id", "need", F.posexplode(F.sequence(F.lit(0), F.col("reach") - 1)).alias("j", "at"),
-            "start", "step",
-        ).withColumn("pos", F.pmod(F.col("start") + F.col("j").cast("bigint") * F.col("step"), F.lit(prime)))
+            "user_id", "item_id", "need", "had", "start", "step", F.explode(F.sequence("first", F.col("reach") - 1)).alias("j")
+        ).withColumn("pos", F.pmod(F.col("start") + F.col("j") * F.col("step"), F.lit(prime)))
         drawn = walk.join(positions.withColumnRenamed("item_id", "negative"), "pos")
-        fresh = drawn.join(
-            known.withColumnRenamed("item_id", "negative"), ["user_id", "negative"], "left_anti"
-        )
-        order = Window.partitionBy("user_id", "item_id").orderBy("j")
+        fresh = drawn.join(known.withColumnRenamed("item_id", "negative"), ["user_id", "negative"], "left_anti")
         kept = settle(
-            fresh.withColumn("draw", F.row_number().over(order)).where("draw <= need").select(
+            fresh.withColumn("draw", F.row_number().over(of_pair) + F.col("had")).where("draw <= need").select(
                 "user_id", "item_id", "negative", "draw"
             ),
             "negatives",
         )
+        done = done.unionByName(kept)
         got = kept.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("got"))
-        short = settle(
+        have = F.col("had") + F.coalesce("got", F.lit(0))
+        pending = settle(
             pending.join(got, ["user_id", "item_id"], "left")
-            .where((F.coalesce("got", F.lit(0)) < F.col("need")) & (F.col("reach") < prime))
-            .select("user_id", "item_id", "need", "start", "step", F.least(F.lit(prime), F.col("reach") * 2).cast("bigint").alias("reach")),
+            .where((have < F.col("need")) & (F.col("reach") < prime))
+            .select(
+                "user_id", "item_id", "need", "start", "step", F.col("reach").alias("first"),
+                F.least(F.lit(prime), F.col("reach") * 2).cast("bigint").alias("reach"), have.alias("had"),
+            ),
             "short",
         )
-        any_short = len(short.take(1)) > 0
-        finished = kept.join(short, ["user_id", "item_id"], "left_anti") if any_short else kept
-        done = finished if done is None else done.unionByName(finished)
-        if not any_short:
-            return done
-        pending = short
+    return done
+
+
+def _from_rest(walks: DataFrame, known: DataFrame, positions: DataFrame, prime: int) -> DataFrame:
+    """Samples of users with few unseen items; such a user has seen nearly all positions that are listed for it."""
+    total = positions.count()
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(total - 1).cast("bigint"))).alias("pos")
+    users = walks.select("user_id").distinct().select("user_id", every)
+    rest = users.join(known.join(positions, "item_id").select("user_id", "pos"), ["user_id", "pos"], "left_anti")
+    rest = rest.join(positions.withColumnRenamed("item_id", "negative"), "pos")
+    at = F.pmod(F.pmod(F.col("pos") - F.col("start"), F.lit(prime)) * _inverse(F.col("step"), prime), F.lit(prime))
+    ranked = walks.join(rest, "user_id").withColumn("j", at)
+    of_pair = Window.partitionBy("user_id", "item_id").orderBy("j")
+    draw = F.row_number().over(of_pair)
+    return ranked.withColumn("draw", draw.cast("bigint")).where("draw <= need").select("user_id", "item_id", "negative", "draw")
 
 
 def hits(test: DataFrame, negatives: DataFrame, model: Recommender, at: Sequence[int] = (5, 10)) -> DataFrame:

@@ -46,34 +46,49 @@ def cold_start(ratings: DataFrame, run_date: Column, n: int = 5, value: str = "s
     )
 
 
-def popular_unseen(ratings: DataFrame, users: DataFrame, exclude: DataFrame, n: int, value: str = "score") -> DataFrame:
+def popular_unseen(
+    ratings: DataFrame, users: DataFrame, exclude: DataFrame, n: int, value: str = "score", head: int | None = None
+) -> DataFrame:
     """Most popular items per user without the excluded pairs: (user_id, item_id, score).
 
-    Items are ranked once.  The i-th excluded item of a user, by rank, pushes the
-    list down only if its rank is below ``n + i``; a user therefore needs ``n``
-    ranks more than the number of such exclusions, and the work stays linear.
+    Items are ranked once.  Only exclusions among the first ``head`` ranks are read;
+    users with too few items left there, and nobody else, go on with longer heads.
+    The i-th excluded item of a user, by rank, pushes the list down only if its rank
+    is below ``n + i``, so no user takes more than ``n`` ranks plus such exclusions.
     """
     order = [F.desc("score"), F.asc("item_id")]
     ranked = settle(sorted_index(popularity(ratings, value), order, "pos"), "ranked")
     total = ranked.count()
+    head = min(total, head or max(64, 4 * n))
+    pending = settle(users.select("user_id").distinct(), "users")
+    pairs = exclude.select("user_id", "item_id").distinct()
+    found: DataFrame | None = None
+    while True:
+        known = pairs.join(broadcast_if_small(ranked.where(F.col("pos") <= head).select("item_id", "pos")), "item_id")
+        gone = settle(known.join(pending, "user_id", "left_semi").select("user_id", "pos"), "gone")
+        counts = gone.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_gone"))
+        short = settle(counts.where((F.lit(head) - F.col("n_gone") < n) & F.lit(head < total)).select("user_id"), "short")
+        ready = pending.join(short, "user_id", "left_anti")
+        some = _heads(ranked.where(F.col("pos") <= head), ready, gone.join(short, "user_id", "left_anti"), n, head)
+        found = some if found is None else found.unionByName(some)
+        if short.isEmpty():
+            return found
+        pending, head = short, min(total, 4 * head)
+
+
+def _heads(ranked: DataFrame, users: DataFrame, gone: DataFrame, n: int, head: int) -> DataFrame:
+    """The first ``n`` ranks of every user that are not gone; ``gone`` holds at most ``head`` ranks of a user."""
     of_user = Window.partitionBy("user_id").orderBy("pos")
-    gone = (
-        exclude.select("user_id", "item_id")
-        .distinct()
-        .join(ranked.select("item_id", "pos"), "item_id")
-        .withColumn("i", F.row_number().over(of_user))
-        .where(F.col("pos") - F.col("i") < n)
-        .select("user_id", "pos")
-    )
-    gone = settle(gone, "gone")
-    pushed = gone.groupBy("user_id").agg(F.count(F.lit(1)).alias("pushed"))
-    reach = F.least(F.lit(n) + F.coalesce("pushed", F.lit(0)), F.lit(total))
-    heads = users.select("user_id").distinct().join(pushed, "user_id", "left").select(
+    pushing = gone.withColumn("i", F.row_number().over(of_user)).where(F.col("pos") - F.col("i") < n).select("user_id", "pos")
+    pushing = settle(pushing, "pushing")
+    pushed = pushing.groupBy("user_id").agg(F.count(F.lit(1)).alias("pushed"))
+    reach = F.least(F.lit(n) + F.coalesce("pushed", F.lit(0)), F.lit(head))
+    heads = users.join(pushed, "user_id", "left").select(
         "user_id", F.explode(F.sequence(F.lit(1).cast("bigint"), reach.cast("bigint"))).alias("pos")
     )
     furthest = n + (pushed.agg(F.max("pushed")).first()[0] or 0)
     top = broadcast_if_small(ranked.where(F.col("pos") <= furthest))
-    return heads.join(gone, ["user_id", "pos"], "left_anti").join(top, "pos").select("user_id", "item_id", "score")
+    return heads.join(pushing, ["user_id", "pos"], "left_anti").join(top, "pos").select("user_id", "item_id", "score")
 
 
 def top_per_user(scores: DataFrame, n: int) -> DataFrame:

@@ -13,7 +13,7 @@ from quipu.plans import fixtures as fx
 from quipu.plans.registry import query
 from quipu.session import scratch_path
 from quipu.sources import sinks
-from quipu.sources.tables import read_delimited, read_table
+from quipu.sources.tables import read_delimited, read_json, read_table
 
 
 def r6(col):
@@ -58,6 +58,14 @@ def _(spark, d):
     return read_delimited(spark, path, schema)
 
 
+@query("export_lines_roundtrip", f"WITH {fx.SQL_POSTS} SELECT conv_id, turn, message FROM posts")
+def _(spark, d):
+    path = scratch_path(spark, "lines")
+    posts = fx.posts(spark, d).select("conv_id", "turn", "message")
+    sinks.export_lines(posts, path)
+    return read_json(spark, path, posts.schema)
+
+
 @query("full_refresh_sink", f"WITH {fx.SQL_PAIRS} SELECT item_id, count(*) AS n_users FROM pairs GROUP BY 1")
 def _(spark, d):
     path = scratch_path(spark, "target")

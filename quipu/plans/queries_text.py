@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from quipu.functions import text
+from quipu.functions.apply import apply_text, strip_accents
 from quipu.operators import textmine, topics
 from quipu.plans import fixtures as fx
 from quipu.plans import jobs
@@ -116,14 +116,16 @@ def _(spark, d):
     return _spans(spark, d).agg(F.array(*cells).alias("rows")).select(F.inline("rows"))
 
 
-@query("apply_scalar_udf", "SELECT doc_id, CASE WHEN length(text) > 1000 THEN 'long' ELSE 'short' END AS size_class FROM documents")
+@query("apply_scalar_udf", "SELECT doc_id, strip_accents(text) AS plain FROM documents")
 def _(spark, d):
-    @F.pandas_udf("string")
-    def size_class(s: pd.Series) -> pd.Series:
-        return s.str.len().gt(1000).map({True: "long", False: "short"})
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return docs.select("doc_id", apply_text(F.col("text"), strip_accents).alias("plain"))
+
 
+@query("size_class", "SELECT doc_id, CASE WHEN length(text) > 1000 THEN 'long' ELSE 'short' END AS size_class FROM documents")
+def _(spark, d):
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
-    return docs.select("doc_id", size_class("text").alias("size_class"))
+    return docs.select("doc_id", F.when(F.char_length("text") > 1000, "long").otherwise("short").alias("size_class"))
 
 
 @query("tokens_clean", f"WITH {SQL_POST_TOKENS} SELECT conv_id, turn, array_to_string(tokens, ' ') AS tokens FROM tokens")

@@ -39,7 +39,11 @@ def read_query(
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Forum exports as CSV; messages may hold quotes and line breaks."""
+    """Forum exports as CSV; messages may hold quotes and line breaks.
+
+    Because of the line breaks a file is read by one task whatever its size; large
+    exports are better written by ``sinks.export_lines`` and read by ``read_json``.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)

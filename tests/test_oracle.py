@@ -1,4 +1,4 @@
-"""Every query with a SQL twin gives the same rows as DuckDB on the smallest tables."""
+"""Every query with a SQL twin gives the same rows as DuckDB, at the scale of the correctness check."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")

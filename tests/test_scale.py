@@ -65,15 +65,39 @@ def test_negatives_are_unseen_and_complete(spark, ratings):
     assert len(sizes) == len(pdf)
 
 
+def test_negatives_of_dense_users_equal_their_walks(spark, ratings):
+    """The short list of unseen items gives the sample that walking the whole catalogue gives."""
+    pdf = hot_pairs()
+    seen = pdf.groupby("user_id").item_id.agg(set)
+    items = spark.range(40).withColumnRenamed("id", "item_id")
+    pos = {r["item_id"]: r["pos"] for r in indexing.dense_index(items, "item_id", "pos").collect()}
+    prime = evaluate.next_prime(40)
+    draws = ratings.select(
+        "user_id",
+        "item_id",
+        indexing.hash_number(F.lit(29), F.col("user_id"), F.col("item_id")).alias("a"),
+        indexing.hash_number(F.lit(29), F.col("user_id"), F.col("item_id"), start=9).alias("b"),
+    ).collect()
+    start = {(r["user_id"], r["item_id"]): (r["a"] % prime, r["b"] % (prime - 1) + 1) for r in draws}
+    item_at = {p: i for i, p in pos.items()}
+    for n in (3, 20):  # users count as dense below 4 n unseen items: some, then all of them
+        got = evaluate.negative_samples(ratings, ratings, items, n).toPandas()
+        for (u, i), rows in got.groupby(["user_id", "item_id"]):
+            a, b = start[u, i]
+            walk = [item_at[(a + j * b) % prime] for j in range(prime) if (a + j * b) % prime in item_at]
+            assert rows.sort_values("draw").negative.tolist() == [x for x in walk if x not in seen[u]][:n]
+
+
 def test_popular_unseen_matches_brute_force(spark, ratings):
     pdf = hot_pairs()
     pop = pdf.groupby("item_id").score.sum()
     order = sorted(pop.index, key=lambda i: (-pop[i], i))
     seen = pdf.groupby("user_id").item_id.agg(set)
-    rows = recommend.popular_unseen(ratings, ratings, ratings, 4).collect()
-    got = {u: {r["item_id"] for r in rows if r["user_id"] == u} for u in seen.index}
-    for u in seen.index:
-        assert got[u] == set([i for i in order if i not in seen[u]][:4])
+    for head in (None, 4, 9):  # short heads are lengthened for the users that need it
+        rows = recommend.popular_unseen(ratings, ratings, ratings, 4, head=head).collect()
+        got = {u: {r["item_id"] for r in rows if r["user_id"] == u} for u in seen.index}
+        for u in seen.index:
+            assert got[u] == set([i for i in order if i not in seen[u]][:4])
 
 
 @pytest.mark.parametrize("block_rows", [4, 19, blocks.BLOCK_ROWS])
