@@ -1,19 +1,21 @@
 """Main text of HTML pages by nearest-URL page differencing.
 
-Pages are cut into text lines, one per block element.  Within each host, pages are
-sorted by URL path and each is paired with the neighbour that shares the longest
-start of its path.  Lines that the longest common subsequence of both pages aligns
+Pages are cut into text lines, one per block element.  Within each host, URL paths
+are sorted and each is paired with the neighbour that shares the longest start with
+it.  Lines that the longest common subsequence of both pages aligns
 are the site's furniture and go; so do lines inside elements that never hold main text
 (menus, footers, forms, adverts, comments, ...).  What the page itself marks as its
 article (or, without one, its main part) stays, even where pages share a passage.
 
-The sort is a range partitioning; each partition also sees the last page of the one
+The sort is a range partitioning; each partition also sees the last path of the one
 before and the first of the one after, so the pairing does not depend on where
-partitions end, and a large host is spread like any other.
+partitions end, and a large host is spread like any other.  Only hashes of lines are
+sorted.  Pages are parsed twice, which moves less than writing their lines: the
+second pass sends each page's lines, compressed, to the hashes of its neighbour.
 
 Defined cases: null html is empty and gives an empty text; a null URL, or one
-without ``://``, belongs to the host with the empty name; pages with equal URLs are
-sorted by their place in the table.  Unclosed elements end with their parent, an
+without ``://``, belongs to the host with the empty name; pages of equal host and
+path are compared with the same neighbour, never with each other.  Unclosed elements end with their parent, an
 unfinished tag at the end is dropped.  Empty tables give empty tables; columns other
 than those named are not read.
 """
@@ -22,10 +24,12 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.llm import url_filter
@@ -53,6 +57,7 @@ HINTS = frozenset(
     "sidebar social sponsor sponsored subscribe toolbar".split()
 )
 SKIPPED, LOOSE, MAIN, ARTICLE = range(4)
+_SIGN = 1 << 63
 
 
 def _hinted(attrs: str) -> bool:
@@ -188,69 +193,116 @@ def _common_start(a: str, b: str) -> int:
     return n
 
 
-def lines_of(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
-    """(row, page_id, url, host, path, lines, places), written once to the shared folder."""
+def prints_of(lines: Sequence[str]) -> list[int]:
+    """Signed 64-bit hashes of the lines."""
+    return [(xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")) ^ _SIGN) - _SIGN for line in lines]
 
-    @F.arrow_udf("lines array<string>, places array<int>")
-    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.struct([("lines", pa.list_(pa.string())), ("places", pa.list_(pa.int32()))])
+
+def page_prints(page: Column) -> Column:
+    @F.arrow_udf("array<long>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [text_lines(p.as_py()) for p in batch]
-            yield pa.array([{"lines": [x for x, _ in f], "places": [x for _, x in f]} for f in found], kind)
+            found = [prints_of([line for line, _ in text_lines(p.as_py())]) for p in batch]
+            yield pa.array(found, pa.list_(pa.int64()))
+
+    return run(page)
+
+
+def packed_lines(page: Column) -> Column:
+    """Places and lines of a page, compressed: what a join has to move of it."""
+
+    @F.arrow_udf("binary")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for p in batch:
+                lines = text_lines(p.as_py())
+                whole = "\n".join(["".join(str(place) for _, place in lines), *(line for line, _ in lines)])
+                out.append(zlib.compress(whole.encode("utf-8", "surrogatepass"), 1))
+            yield pa.array(out, pa.binary())
+
+    return run(page)
 
-    link = F.coalesce(column(pages, url), F.lit(""))
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("row"),
-        column(pages, key).alias("page_id"),
-        column(pages, url).alias("url"),
-        url_filter.host(link).alias("host"),
-        url_filter.path(link).alias("path"),
-        cut(column(pages, page)).alias("cut"),
-    )
-    return settle(rows.select("row", "page_id", "url", "host", "path", "cut.lines", "cut.places"), "op5-lines")
 
+def main_text(packed: Column, near: Column) -> Column:
+    """Text of a page, given the hashes of its neighbour's lines (null: no neighbour).
 
-def shared_with_neighbour(rows: DataFrame) -> DataFrame:
-    """(row, shared): for each line of a page, whether the page of the nearest URL has it too."""
-    order = ["host", "path", "row"]
-    prints = rows.select(*order, F.transform("lines", lambda x: F.xxhash64(x)).alias("prints"))
-    placed = prints.repartitionByRange(*order).sortWithinPartitions(*order)
+    The page's own marks decide first: its article, else its main part, else all
+    lines outside of furniture that the neighbour does not share.
+    """
+
+    @F.arrow_udf("string")
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for pages, others in batches:
+            out = []
+            for page, other in zip(pages, others, strict=True):
+                head, *lines = zlib.decompress(page.as_py()).decode("utf-8", "surrogatepass").split("\n")
+                places = [int(c) for c in head]
+                shared = shared_lines(prints_of(lines[: len(places)]), other.as_py() or [])
+                level = max(places, default=SKIPPED)
+                if level >= MAIN:
+                    kept = [line for line, place in zip(lines, places, strict=False) if place == level]
+                else:
+                    own = zip(lines, places, shared, strict=False)
+                    kept = [line for line, place, twice in own if place == LOOSE and not twice]
+                out.append(" ".join(kept))
+            yield pa.array(out, pa.string())
+
+    return run(packed, near)
+
+
+def nearest_prints(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
+    """(host, path, near): for every URL path, the line hashes of the nearest other path of its host.
+
+    One page stands for all pages of a path, so crawled copies are never compared
+    with each other and a path with many pages is one row here.
+    """
+    order = ["host", "path"]
+    link = F.coalesce(column(pages, url), F.lit(""))
+    rows = pages.select(url_filter.host(link).alias("host"), url_filter.path(link).alias("path"), page_prints(column(pages, page)).alias("prints"))
+    one = rows.groupBy(*order).agg(F.min("prints").alias("prints"))
+    placed = one.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = settle(placed.withColumn("part", F.spark_partition_id()), "op5-sorted")
-    page = F.struct(*order, "prints")
+    entry = F.struct(*order, "prints")
     ends = placed.groupBy("part").agg(
-        F.min_by(page, F.struct(*order)).alias("first"), F.max_by(page, F.struct(*order)).alias("last")
+        F.min_by(entry, F.struct(*order)).alias("first"), F.max_by(entry, F.struct(*order)).alias("last")
     )
     parts = Window.orderBy("part")  # one row per partition
     ends = ends.select("part", F.lag("last").over(parts).alias("before"), F.lead("first").over(parts).alias("behind"))
     inside = Window.partitionBy("part").orderBy(*order)
     near = placed.select(
-        "part", *order, "prints", F.lag(page).over(inside).alias("prev"), F.lead(page).over(inside).alias("next")
+        "part", *order, F.lag(entry).over(inside).alias("prev"), F.lead(entry).over(inside).alias("next")
     ).join(ends.withColumnRenamed("part", "of"), F.col("part") == F.col("of"))
+    same_host = [F.when(c["host"] == F.col("host"), c) for c in (F.coalesce("prev", "before"), F.coalesce("next", "behind"))]
+    near = near.select(*order, same_host[0].alias("prev"), same_host[1].alias("next"))
+    follows = F.col("prev").isNull() | _closer(F.col("path"), F.col("prev.path"), F.col("next.path"))
+    return near.select(*order, F.when(follows, F.col("next.prints")).otherwise(F.col("prev.prints")).alias("near"))
 
-    @F.arrow_udf("array<boolean>")
-    def compare(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for hosts, paths, prints, prevs, nexts in batches:
-            out = []
-            for host, path, own, *others in zip(*(x.to_pylist() for x in (hosts, paths, prints, prevs, nexts)), strict=True):
-                others = [o for o in others if o is not None and o["host"] == host]
-                best = max(others, key=lambda o: _common_start(path, o["path"]), default=None)
-                out.append(shared_lines(own, best["prints"]) if best else [False] * len(own))
-            yield pa.array(out, pa.list_(pa.bool_()))
 
-    prev, next_ = F.coalesce("prev", "before"), F.coalesce("next", "behind")
-    return near.select("row", compare("host", "path", "prints", prev, next_).alias("shared"))
+def _closer(path: Column, prev: Column, next_: Column) -> Column:
+    """Whether the next path shares a longer start than the previous one."""
+
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            rows = zip(*(x.to_pylist() for x in batch), strict=True)
+            yield pa.array([_common_start(p, c or "") > _common_start(p, b or "") for p, b, c in rows], pa.bool_())
+
+    return run(path, prev, next_)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    rows = lines_of(pages, key, url, page)
-    shared = settle(shared_with_neighbour(rows), "op5-shared").withColumnRenamed("row", "of")
-    level = F.array_max("places")
-    # The page's own marks decide first: its article, else its main part, else all lines that only this page has.
-    wanted = F.filter(
-        F.arrays_zip("lines", "places", "shared"),
-        lambda x: F.when(level >= MAIN, x["places"] == level).otherwise((x["places"] == LOOSE) & ~x["shared"]),
+    near = settle(nearest_prints(pages, url, page), "op5-near")
+    near = near.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), "near")
+    link = F.coalesce(column(pages, url), F.lit(""))
+    rows = pages.select(
+        column(pages, key).alias("page_id"),
+        column(pages, url).alias("url"),
+        url_filter.host(link).alias("host"),
+        url_filter.path(link).alias("path"),
+        packed_lines(column(pages, page)).alias("packed"),
     )
-    joined = rows.join(shared, F.col("row") == F.col("of"))
-    joined = joined.select("page_id", "url", F.array_join(F.transform(wanted, lambda x: x["lines"]), " ").alias("text"))
-    return joined.withColumn("n_chars", F.char_length("text").cast("long"))
+    joined = rows.join(near, (F.col("host") == F.col("of_host")) & (F.col("path") == F.col("of_path")), "left")
+    texts = joined.select("page_id", "url", main_text(F.col("packed"), F.col("near")).alias("text"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
