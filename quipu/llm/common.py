@@ -7,6 +7,11 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.operators.joins import broadcast_if_small
+from quipu.session import settle
+
+#: A key is an id and 8 bytes, so with numeric ids a broadcast stays below 100 MB.
+BROADCAST_KEYS = 1_000_000
 # Fixed value: a word is a run of digits, a-z and characters beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -28,12 +33,14 @@ def column(df: DataFrame, name: str) -> Column:
 def without_rows(docs: DataFrame, bad: DataFrame, keys: dict[str, Column]) -> DataFrame:
     """``docs`` without the rows whose keys are in ``bad``; nulls are equal to each other.
 
-    ``keys`` maps columns of ``bad`` to expressions over ``docs``.  Spark
-    broadcasts ``bad`` if its measured size is small and splits hot keys otherwise.
+    ``keys`` maps columns of ``bad`` to expressions over ``docs``.  Up to
+    ``BROADCAST_KEYS`` bad keys are broadcast and no text is moved; beyond that both
+    sides are shuffled, with hot keys split by Spark.
     """
     names = {f"__key_{i}": k for i, k in enumerate(keys)}
     left = docs.withColumns({n: keys[k] for n, k in names.items()})
-    right = bad.select(*[F.col(k).alias(f"{n}_bad") for n, k in names.items()])
+    right = settle(bad.select(*[F.col(k).alias(f"{n}_bad") for n, k in names.items()]), "bad-keys")
+    right = broadcast_if_small(right, BROADCAST_KEYS)
     same = [left[n].eqNullSafe(right[f"{n}_bad"]) for n in names]
     return left.join(right, same, "left_anti").drop(*names)
 
@@ -46,6 +53,7 @@ def keep_marked(docs: DataFrame, marked: DataFrame, keys: dict[str, Column]) ->
     one is kept; they are combined in the scan tasks before they are moved.
     """
     pairs = marked.groupBy(*keys).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    pairs = settle(pairs, "marked-pairs")
     rest = without_rows(docs, pairs.where("NOT kept"), keys)
     twins = pairs.where("kept AND n > 1").select(*keys)
     if twins.isEmpty():
