@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quipu.functions import text
 from quipu.operators.indexing import dense_index
+from quipu.session import on_all_tasks
 
 
 def term_counts(docs: DataFrame, key: str, tokens: Column, runs: tuple[int, int] = (1, 1)) -> DataFrame:
@@ -18,7 +19,7 @@ def term_counts(docs: DataFrame, key: str, tokens: Column, runs: tuple[int, int]
     rows are shuffled.  The outer form of the explode keeps the optimizer from adding
     a filter that would cut every text once more.
     """
-    cut = docs.select(key, tokens.alias("tokens"))
+    cut = on_all_tasks(docs).select(key, tokens.alias("tokens"))
     terms = F.col("tokens") if runs == (1, 1) else text.ngrams(F.col("tokens"), *runs)
     spread = cut.select(key, F.explode_outer(terms).alias("term")).where(F.col("term").isNotNull())
     return spread.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -17,7 +17,7 @@ from quipu.operators import cluster, factorize, recommend, topics
 from quipu.operators.prep import prepare_interactions, standardize
 from quipu.operators.reshape import pivot_mean
 from quipu.operators.textmine import tokens_with_lemmas
-from quipu.session import settle
+from quipu.session import on_all_tasks, settle
 from quipu.sources import sinks
 
 
@@ -97,7 +97,7 @@ def topics_job(
     ``lemmas`` is (form, lemma); tokens it knows are replaced by their base form.
     Posts are cut into tokens once and every later step reads the written tokens.
     """
-    tokens = topics.forum_tokens(posts, message, stop_words).select(*columns, "tokens")
+    tokens = topics.forum_tokens(on_all_tasks(posts), message, stop_words).select(*columns, "tokens")
     if lemmas is not None:
         numbered = settle(tokens.withColumn("__post", F.monotonically_increasing_id()), "numbered")
         base = tokens_with_lemmas(numbered, "__post", F.col("tokens"), lemmas)

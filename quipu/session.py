@@ -73,6 +73,16 @@ def spill_cache(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def on_all_tasks(df: DataFrame) -> DataFrame:
+    """Spread an input that comes in fewer splits than there are tasks, before costly work per row.
+
+    So few splits are little data, which is cheap to move; an input of many splits
+    stays where it is.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+
+
 def task_count(spark: SparkSession) -> int:
     """Number of partitions for compute-bound steps that byte-based coalescing would starve."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
