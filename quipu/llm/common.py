@@ -59,7 +59,8 @@ def keep_marked(docs: DataFrame, marked: DataFrame, keys: dict[str, Column]) ->
     if twins.isEmpty():
         return rest
     names = {f"__twin_{i}": k for i, k in enumerate(keys)}
-    named = docs.withColumns({n: keys[k] for n, k in names.items()}).dropDuplicates(list(names))
-    wanted = twins.select(*[F.col(k).alias(f"{n}_of") for n, k in names.items()])
+    named = docs.withColumns({n: keys[k] for n, k in names.items()})
+    wanted = settle(twins.select(*[F.col(k).alias(f"{n}_of") for n, k in names.items()]), "twins")
     same = [named[n].eqNullSafe(wanted[f"{n}_of"]) for n in names]
-    return without_rows(rest, twins, keys).unionByName(named.join(wanted, same, "left_semi").drop(*names))
+    tied = named.join(broadcast_if_small(wanted, BROADCAST_KEYS), same, "left_semi").dropDuplicates(list(names))
+    return without_rows(rest, twins, keys).unionByName(tied.drop(*names))
