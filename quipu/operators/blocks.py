@@ -326,3 +326,39 @@ def block_distance_sums(points: DataFrame, key: str, group: str, block_rows: int
 
     parts = _cogroup(vectors, vectors, None, kernel, f"id {kind}, grp bigint, part double", block_rows)
     return parts.groupBy(_as_given("id", points, key), F.col("grp").alias(group)).agg(F.sum("part").alias("total"))
+
+
+def block_worst_ratio(centers: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Per centre the greatest (spread + spread) / distance to another centre: (key, worst).
+
+    ``centers`` has the spread ``s`` and the dense vector ``val``; centres at the same
+    place are left out, as their ratio is undefined.
+    """
+    kind = _key_type((centers, key))
+    id_type = pa.int64() if kind == "bigint" else pa.string()
+    # The spread travels as the last value of the vector.
+    longer = centers.select(key, F.concat(F.col("val").cast("array<double>"), F.array(F.col("s").cast("double"))).alias("val"))
+    vectors = settle(_vectors(longer, key, None, kind), "centers")
+
+    def kernel(a, b, dense, products, slices, asked, width):
+        ids, worst = [], []
+        right = dense(b, 0, len(b["ids"]), 0, width)
+        for first, last in slices:
+            left = dense(a, first, last, 0, width)
+            square = (left[:, :-1] ** 2).sum(axis=1)[:, None] + (right[:, :-1] ** 2).sum(axis=1)[None, :]
+            gap = square - 2.0 * (left[:, :-1] @ right[:, :-1].T)
+            # Where rounding could matter, by differences: equal centres are then exactly zero apart.
+            r, c = np.nonzero(gap <= 1e-9 * square)
+            gap[r, c] = ((left[r, :-1] - right[c, :-1]) ** 2).sum(axis=1)
+            apart = np.sqrt(gap)
+            apart[a["ids"][first:last, None] == b["ids"][None, :]] = 0.0
+            both = left[:, -1:] + right[None, :, -1]
+            ratio = np.divide(both, apart, out=np.full_like(apart, -np.inf), where=apart > 0)
+            top = ratio.max(axis=1)
+            ids.append(a["ids"][first:last][top > -np.inf])
+            worst.append(top[top > -np.inf])
+        columns = [pa.array(np.concatenate(x) if x else [], t) for x, t in ((ids, id_type), (worst, pa.float64()))]
+        return pa.table(columns, names=["id", "worst"])
+
+    found = _cogroup(vectors, vectors, None, kernel, f"id {kind}, worst double", block_rows)
+    return found.groupBy(_as_given("id", centers, key)).agg(F.max("worst").alias("worst"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.scores import squared_distance
-from quipu.operators.blocks import block_distance_sums
+from quipu.operators.blocks import block_distance_sums, block_worst_ratio
 from quipu.operators.joins import broadcast_if_small
 from quipu.session import settle, spill_cache
 
@@ -86,11 +86,7 @@ def davies_bouldin(df: DataFrame, label: str, vector: str, size: int) -> DataFra
         .groupBy(label)
         .agg(F.avg(F.sqrt(squared_distance(F.col("val"), F.col("center")))).alias("s"), F.first("center").alias("c"))
     )
-    # A handful of clusters fits in one row; its pairs are formed there.
-    row = spread.agg(F.collect_list(F.struct(F.col(label).alias("l"), "s", "c")).alias("all"))
-    pairs = row.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")).where("a.l <> b.l")
-    ratio = F.try_divide(F.col("a.s") + F.col("b.s"), F.sqrt(squared_distance(F.col("a.c"), F.col("b.c"))))
-    worst = pairs.groupBy(F.col("a.l").alias("l")).agg(F.max(ratio).alias("worst"))
+    worst = block_worst_ratio(spread.select(label, "s", F.col("c").alias("val")), label)
     return worst.agg(F.avg("worst").alias("davies_bouldin"))
 
 

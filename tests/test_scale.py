@@ -242,6 +242,18 @@ def test_exact_silhouette_over_blocks(spark):
     assert abs(cluster.silhouette_exact(df, "id", "c", "v").first()[0] - np.mean(s)) < 1e-9
 
 
+@pytest.mark.parametrize("block_rows", [2, blocks.BLOCK_ROWS])
+def test_worst_ratios_over_blocks(spark, block_rows):
+    rng = np.random.default_rng(9)
+    m, s = rng.normal(size=(9, 4)), rng.uniform(0.1, 1, 9)
+    m[8] = m[0]
+    df = spark.createDataFrame([(f"c{i}", float(s[i]), m[i].tolist()) for i in range(9)], "k string, s double, val array<double>")
+    rows = {r.k: r.worst for r in blocks.block_worst_ratio(df, "k", block_rows).collect()}
+    for i in range(9):
+        far = [(s[i] + s[j]) / d for j in range(9) if j != i and (d := np.linalg.norm(m[i] - m[j])) > 1e-9]
+        assert abs(rows[f"c{i}"] - max(far)) < 1e-9
+
+
 def test_elbow_falls(spark):
     df = spark.createDataFrame(pd.DataFrame(RNG.normal(size=(80, 2)), columns=["a", "b"]))
     cost = [r["cost"] for r in cluster.elbow_curve(df, ["a", "b"], range(1, 5)).orderBy("k").collect()]
