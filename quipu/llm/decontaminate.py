@@ -8,7 +8,8 @@ equals a scan of every window.
 
 Defined cases: a null or empty text has no words and is clean; an item without words
 has no window, one with fewer than ``n`` words is one window of its own length.
-Repeated items and documents are judged each for itself; empty tables give no hits.
+Repeated items and documents are judged each for itself; items without an id count as
+one item, which the list of ids leaves out; empty tables give no hits.
 Columns other than the ids and texts are not read by ``scan``.
 """
 

@@ -29,15 +29,15 @@ def brute_hits(text, items, n=10):
             for at in range(len(words) - size + 1):
                 if words[at : at + size] == own[i : i + size]:
                     hit.update(range(at, at + size))
-                    found.add(str(key))
-    return len(words), len(hit), sorted(found)
+                    found.add(key)
+    return len(words), len(hit), len(found), sorted(str(k) for k in found if k is not None)
 
 
 def benchmark(spark, docs):
     rng = random.Random(5)
     long = [t for (t,) in docs.select("text").collect() if t and 60 < len(t) < 4000]
     rows = [(i, " ".join(rng.choice(long).split()[2 : rng.randint(8, 25)])) for i in range(12)]
-    rows += [(100, "one"), (101, "Two words"), (102, None), (103, ""), (9, rows[0][1]), (10, rows[0][1].upper()), (104, "long " * 9)]
+    rows += [(100, "one"), (101, "Two words"), (102, None), (103, ""), (9, rows[0][1]), (10, rows[0][1].upper()), (104, "long " * 9), (None, rows[1][1])]
     return with_clashes(spark.createDataFrame(rows, "item_id long, text string")), rows
 
 
@@ -48,11 +48,11 @@ def test_decontamination_against_brute_force(spark, broadcast):
     want = Counter()
     for r in docs.select("doc_id", "text").collect():
         text = r.text if r.text is None or len(r.text) < 10_000 else " ".join(r.text.split()[:40])
-        n, hit, found = brute_hits(text, rows)
+        n, hit, n_items, found = brute_hits(text, rows)
         if text != r.text:  # the very long text is "long" 30,000 times and "end"
-            n, hit, found = 30_001, 30_000, ["104"]
+            n, hit, n_items, found = 30_001, 30_000, 1, ["104"]
         digest = hashlib.sha256(",".join(found).encode()).hexdigest()
-        want[r.doc_id, n, hit, len(found), digest, hit > 0] += 1
+        want[r.doc_id, n, hit, n_items, digest, hit > 0] += 1
     got = decontaminate.judge(docs, items, broadcast=broadcast).drop("text_key").collect()
     assert Counter(tuple(r) for r in got) == want
     clean = decontaminate.clean(docs, items)
