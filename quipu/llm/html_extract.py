@@ -52,19 +52,26 @@ INLINE = frozenset(
 )
 NEVER = frozenset("head nav footer aside form button select menu dialog".split())
 HINTS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo "
-    "cookie cookies footer gdpr menu nav navbar navigation newsletter notice popup promo promoted related search share sharing "
-    "sidebar social sponsor sponsored subscribe toolbar".split()
+    "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary consent "
+    "contentinfo cookie cookies footer gdpr login menu modal nav navbar navigation newsletter notice notices overlay pager "
+    "pagination popup promo promoted related search share sharing sidebar signup social sponsor sponsored subscribe "
+    "toolbar".split()
 )
+#: An article has a header of its own, which holds its title; a page's header is furniture.
+PAGE_HINTS = frozenset("header masthead topbar".split())
+UNSEEN = re.compile(r"display\s*:\s*none|(?<![\w\"'=-])hidden(?![\w-])", re.I)
 SKIPPED, LOOSE, MAIN, ARTICLE = range(4)
 _SIGN = 1 << 63
 
 
-def _hinted(attrs: str) -> bool:
+def _hinted(attrs: str, in_article: bool) -> bool:
+    if not attrs:
+        return False
     for groups in NAMED.findall(attrs):
-        if not HINTS.isdisjoint(re.split(r"[\s_-]+", "".join(groups).lower())):
+        names = re.split(r"[\s_-]+", "".join(groups).lower())
+        if not HINTS.isdisjoint(names) or not in_article and not PAGE_HINTS.isdisjoint(names):
             return True
-    return False
+    return UNSEEN.search(attrs) is not None
 
 
 def text_lines(page: str | None) -> list[tuple[str, int]]:
@@ -112,13 +119,13 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
         place = places[-1]
         if place != SKIPPED:
             above = place
-            if name in NEVER or (name == "header" and above < ARTICLE) or _hinted(token["attrs"]):
+            if name in NEVER or (name == "header" and above < ARTICLE) or _hinted(token["attrs"], above == ARTICLE):
                 place = SKIPPED
             elif name == "article":
                 place = ARTICLE
             elif name == "main":
                 place = max(above, MAIN)
-        elif name in ("article", "main") and not _hinted(token["attrs"]) and all(n in NEVER for n in open_names[-1:]):
+        elif name in ("article", "main") and not _hinted(token["attrs"], False) and all(n in NEVER for n in open_names[-1:]):
             # An article does not stand in a menu or head: that element was never closed.
             place = ARTICLE if name == "article" else MAIN
         open_names.append(name)

@@ -327,6 +327,18 @@ def test_url_trees_on_held_out_urls(spark):
     assert right >= 0.95 * judged.count()
 
 
+def test_furniture_inside_and_outside_of_an_article():
+    page = """<body><div id=site-header>S</div><div role="search">Q</div><article class='post'><div class="entry-header"><h1>T</h1></div>
+      <p>one <a href='x>y'>two</a>, <i>three</i><div class="ad-box">A</div><ul><li>four<li>five</ul><aside>B</aside>
+      <div style="display: none">C</div><p hidden>D</p><p aria-hidden="false">six</p><section id="comments"><article>E</article></section>
+      <table><tr><td>7<td>8</table><!-- F --><form><p>G</p></form><script>if (a < b) "</p>"</script>&lt;nine&gt;</article>
+      <div class="cookie_notice">H</div><p>outside</p></body>"""
+    lines = html_extract.text_lines(page)
+    kept = [line for line, place in lines if place == html_extract.ARTICLE]
+    assert kept == ["T", "one two, three", "four", "five", "six", "7", "8", "<nine>"]
+    assert [line for line, place in lines if place == html_extract.LOOSE] == ["outside"]
+
+
 def test_entities_inside_a_line():
     assert html_extract.text_lines("<p>a &amp;&#33; b</p>") == [("a &! b", html_extract.LOOSE)]
     assert html.unescape("&copy;") in html_extract.text_lines("<p>&copy;")[0][0]
