@@ -267,7 +267,7 @@ def nearest_prints(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     order = ["host", "path"]
     link = F.coalesce(column(pages, url), F.lit(""))
     rows = pages.select(url_filter.host(link).alias("host"), url_filter.path(link).alias("path"), page_prints(column(pages, page)).alias("prints"))
-    one = rows.groupBy(*order).agg(F.min("prints").alias("prints"))
+    one = rows.groupBy(*order).agg(F.max("prints").alias("prints"))  # an empty page is the smallest
     placed = one.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = settle(placed.withColumn("part", F.spark_partition_id()), "op5-sorted")
     entry = F.struct(*order, "prints")

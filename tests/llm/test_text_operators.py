@@ -289,6 +289,13 @@ def test_pairing_does_not_depend_on_partitions(spark):
     assert seen[0] == seen[1] and all(seen[0][i] == f"own {i}" for i in range(119))
 
 
+def test_empty_page_does_not_stand_for_its_path(spark):
+    rows = [(i, f"http://h.example.com/{i // 2}", f"<p>menu</p><p>own {i}</p>" if i % 2 else "") for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    assert got == {i: f"own {i}" if i % 2 else "" for i in range(8)}
+
+
 def test_url_rules(spark):
     n = 300
     rows = list(enumerate(URLS)) + [(100 + i, f"http://s{i % 7}.com/{'fr' if i % 2 else 'de'}/{i}") for i in range(n)]
