@@ -16,7 +16,9 @@ second pass sends each page's lines, compressed, to the hashes of its neighbour.
 Defined cases: null html is empty and gives an empty text; a null URL, or one
 without ``://``, belongs to the host with the empty name; pages of equal host and
 path are compared with the same neighbour, never with each other.  Unclosed elements end with their parent, an
-unfinished tag at the end is dropped.  Empty tables give empty tables; columns other
+unfinished tag at the end is dropped; a head ends where text or an element of the body begins.
+``html``, ``body``, ``main`` and ``article`` are never furniture by their names, nor is a frame
+around the page's text; of a form that holds it only the controls go.  Empty tables give empty tables; columns other
 than those named are not read.
 """
 
@@ -44,7 +46,7 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]++|<)",
     re.S | re.I,
 )
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
+ATTR = re.compile(r"([^\s=>\"'/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
@@ -59,26 +61,49 @@ HINTS = frozenset(
 )
 #: An article has a header of its own, which holds its title; a page's header is furniture.
 PAGE_HINTS = frozenset("header masthead topbar".split())
-UNSEEN = re.compile(r"display\s*:\s*none|(?<![\w\"'=-])hidden(?![\w-])", re.I)
+#: Words of a layout: a name with one of them tells what stands beside the text, as in ``main-with-sidebar``.
+LAYOUT = frozenset("main layout with has no".split())
+MARKS = frozenset(("article", "main"))
+ROOTS = frozenset(("html", "body"))
+CONTROLS = frozenset("label legend optgroup option datalist output".split())
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 SKIPPED, LOOSE, MAIN, ARTICLE = range(4)
 _SIGN = 1 << 63
 
 
-def _hinted(attrs: str, in_article: bool) -> bool:
-    if not attrs:
-        return False
-    for groups in NAMED.findall(attrs):
-        names = re.split(r"[\s_-]+", "".join(groups).lower())
-        if not HINTS.isdisjoint(names) or not in_article and not PAGE_HINTS.isdisjoint(names):
-            return True
-    return UNSEEN.search(attrs) is not None
+class _Element:
+    """An element of a page; ``chars`` and ``holds`` tell what stands in it, at any depth."""
 
+    __slots__ = ("name", "names", "unseen", "parent", "closed", "chars", "holds", "place", "lost", "aside", "in_form", "in_mark")
 
-def text_lines(page: str | None) -> list[tuple[str, int]]:
-    """(line, place) of every block with text, in page order; the place is one of the four constants."""
-    lines: list[tuple[str, int]] = []
-    open_names: list[str] = []
-    places: list[int] = [LOOSE]
+    def __init__(self, name: str, attrs: str, parent: _Element | None):
+        self.name, self.parent = name, parent
+        self.names, self.unseen = _attributes(attrs)
+        self.closed, self.chars, self.holds, self.place = False, 0, set(), LOOSE
+        self.lost = self.aside = self.in_form = self.in_mark = False
+
+    def hinted(self, hints: frozenset[str]) -> bool:
+        return any(not hints.isdisjoint(name) for name in self.names)
+
+
+def _attributes(attrs: str) -> tuple[list[list[str]], bool]:
+    """(words of every class, id and role name, whether the element is unseen)."""
+    names: list[list[str]] = []
+    unseen = False
+    for key, *values in ATTR.findall(attrs) if attrs else ():
+        key, value = key.lower(), "".join(values)
+        if key in ("class", "id", "role"):
+            names += [re.split(r"[_-]+", name) for name in value.lower().split()]
+        elif key == "hidden" or key == "style" and NO_DISPLAY.search(value):
+            unseen = True
+    return names, unseen
+
+
+def _tree(page: str) -> tuple[list[_Element], list[tuple[str, _Element]]]:
+    """Elements, parents first, and the lines with the element in which each ends."""
+    root = _Element("", "", None)
+    elements, lines = [root], []
+    stack = [root]
     count: dict[str, int] = {}
     parts: list[str] = []
 
@@ -86,53 +111,120 @@ def text_lines(page: str | None) -> list[tuple[str, int]]:
         line = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if line:
-            lines.append((line, places[-1]))
+            lines.append((line, stack[-1]))
 
     def shut(name: str) -> None:
         while True:
-            last = open_names.pop()
-            count[last] -= 1
-            places.pop()
-            if last == name:
+            last = stack.pop()
+            count[last.name] -= 1
+            if last.name == name:
                 return
 
-    for token in TOKEN.finditer(page or ""):
+    for token in TOKEN.finditer(page):
         body = token["text"]
         if body is not None:
             if body == "<" and page.find(">", token.end()) < 0 and re.match(r"[a-zA-Z/!]", page[token.end() :][:1]):
                 break
+            if stack[-1].name == "head" and not body.isspace():
+                flush()
+                shut("head")
             parts.append(body)
             continue
         if token["name"] is None:
             continue
         name = token["name"].lower()
-        if name not in INLINE:
+        if name not in INLINE or name == "label" and count.get("form"):
             flush()
         if token["close"]:
             if count.get(name):
+                shut_at = next(e for e in reversed(stack) if e.name == name)
+                shut_at.closed = True
                 shut(name)
             continue
         if name in VOID or token["attrs"].endswith("/"):
             continue
-        if name in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and open_names and count.get(name):
-            _imply_end(name, open_names, shut)
-        place = places[-1]
-        if place != SKIPPED:
-            above = place
-            if name in NEVER or (name == "header" and above < ARTICLE) or _hinted(token["attrs"], above == ARTICLE):
-                place = SKIPPED
-            elif name == "article":
-                place = ARTICLE
-            elif name == "main":
-                place = max(above, MAIN)
-        elif name in ("article", "main") and not _hinted(token["attrs"], False) and all(n in NEVER for n in open_names[-1:]):
-            # An article does not stand in a menu or head: that element was never closed.
-            place = ARTICLE if name == "article" else MAIN
-        open_names.append(name)
+        if stack[-1].name == "head":
+            shut("head")  # what may stand in a head is void or taken whole
+        if name in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and count.get(name):
+            _imply_end(name, [e.name for e in stack[-8:]], shut)
+        made = _Element(name, token["attrs"], stack[-1])
+        elements.append(made)
+        stack.append(made)
         count[name] = count.get(name, 0) + 1
-        places.append(place)
     flush()
-    return lines
+    return elements, lines
+
+
+def text_lines(page: str | None) -> list[tuple[str, int]]:
+    """(line, place) of every block with text, in page order; the place is one of the four constants."""
+    elements, lines = _tree(page or "")
+    for line, element in lines:
+        element.chars += len(line)
+    for element in reversed(elements[1:]):
+        above = element.parent
+        above.chars += element.chars
+        above.holds |= element.holds
+        if element.name in MARKS or element.name == "h1":
+            above.holds.add(element.name)
+    free, marked = False, 0  # whether an article stands outside of all that may be skipped, and characters of articles
+    for element in elements[1:]:
+        above, name = element.parent, element.name
+        element.in_form = above.in_form or name == "form"
+        element.aside = above.aside or element.unseen
+        if name in MARKS:
+            free = free or not element.aside
+            marked += 0 if above.in_mark else element.chars
+        elif name not in ROOTS:
+            skips = (name in NEVER or name == "header") and name != "form" and element.closed
+            element.aside = element.aside or skips or element.hinted(HINTS | PAGE_HINTS)
+        element.in_mark = above.in_mark or name in MARKS
+    for element in elements[1:]:
+        element.place = _place(element, elements[0].chars, free, marked)
+    return [(line, element.place) for line, element in lines]
+
+
+def _place(element: _Element, chars: int, free: bool, marked: int) -> int:
+    """The place of an element below one that has its place; also notes whether articles in it are furniture."""
+    above, name = element.parent, element.name
+    place = LOOSE if name in ROOTS else above.place
+    element.lost = above.lost and name not in ROOTS
+    skip = keep = False
+    if name in MARKS:
+        skip = element.unseen
+    elif name in ROOTS:
+        pass
+    elif element.unseen:
+        skip = True
+    elif name == "form":
+        whole = place < ARTICLE and (element.holds & MARKS or element.chars * 2 > chars)
+        skip = element.closed and not whole
+    elif name in NEVER or name == "header" and place < ARTICLE:
+        skip, keep = True, not element.closed  # an article does not stand in a menu or head that has no end
+    elif element.hinted(HINTS if place == ARTICLE else HINTS | PAGE_HINTS):
+        skip = place == ARTICLE or not _frames(element, chars, free, marked)
+    elif name in CONTROLS:
+        skip = element.in_form
+    element.lost = element.lost or skip and not keep
+    if skip:
+        return SKIPPED
+    if name in MARKS and not element.lost:
+        return max(place, ARTICLE if name == "article" else MAIN)
+    return place
+
+
+def _frames(element: _Element, chars: int, free: bool, marked: int) -> bool:
+    """Whether an element with a hint in its names is the frame of the page's text, and no furniture.
+
+    It is if it holds the main part, most of the articles where none stands outside of
+    hints, or the top heading with most of the text; or if the hint is part of a layout's name.
+    """
+    holds = element.holds
+    if "main" in holds or "article" in holds and not free and element.chars * 2 >= marked:
+        return True
+    if "h1" in holds and element.chars * 2 > chars:
+        return True
+    hints = [name for name in element.names if not (HINTS | PAGE_HINTS).isdisjoint(name)]
+    return bool(holds) and all(not LAYOUT.isdisjoint(name) for name in hints)
 
 
 def _imply_end(name: str, open_names: list[str], shut) -> None:
