@@ -5,7 +5,10 @@ are sorted and each is paired with the neighbour that shares the longest start w
 it.  Lines that the longest common subsequence of both pages aligns
 are the site's furniture and go; so do lines inside elements that never hold main text
 (menus, footers, forms, adverts, comments, ...).  What the page itself marks as its
-article (or, without one, its main part) stays, even where pages share a passage.
+article or main part stays, even where pages share a passage, except lines of a main part
+around an article that the neighbour shares.  Where more text stands outside of the marks
+that the neighbour does not share, the marks are no main text (a card, a teaser), and the
+alignment alone decides.
 
 The sort is a range partitioning; each partition also sees the last path of the one
 before and the first of the one after, so the pairing does not depend on where
@@ -323,12 +326,24 @@ def packed_lines(page: Column) -> Column:
     return run(page)
 
 
-def main_text(packed: Column, near: Column) -> Column:
-    """Text of a page, given the hashes of its neighbour's lines (null: no neighbour).
+def main_lines(lines: Sequence[str], places: Sequence[int], shared: Sequence[bool]) -> list[str]:
+    """The lines of the main text, given which of them the neighbour shares.
 
-    The page's own marks decide first: its article, else its main part, else all
-    lines outside of furniture that the neighbour does not share.
+    Marks count if their lines hold at least as much text as the loose lines that are
+    not shared.  Lines of an article all stay, lines of a main part around an article
+    unless they are shared.  Else all lines outside of furniture that are not shared stay.
     """
+    rows = [row for row in zip(lines, places, shared, strict=True) if row[1] != SKIPPED]
+    loose = sum(len(line) for line, place, twice in rows if place == LOOSE and not twice)
+    marked = sum(len(line) for line, place, _ in rows if place > LOOSE)
+    if not marked or marked < loose:
+        return [line for line, _, twice in rows if not twice]
+    top = max(place for _, place, _ in rows)
+    return [line for line, place, twice in rows if place == top or place > LOOSE and not twice]
+
+
+def main_text(packed: Column, near: Column) -> Column:
+    """Text of a page, given the hashes of its neighbour's lines (null: no neighbour)."""
 
     @F.arrow_udf("string")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -336,15 +351,9 @@ def main_text(packed: Column, near: Column) -> Column:
             out = []
             for page, other in zip(pages, others, strict=True):
                 head, *lines = zlib.decompress(page.as_py()).decode("utf-8", "surrogatepass").split("\n")
-                places = [int(c) for c in head]
-                shared = shared_lines(prints_of(lines[: len(places)]), other.as_py() or [])
-                level = max(places, default=SKIPPED)
-                if level >= MAIN:
-                    kept = [line for line, place in zip(lines, places, strict=False) if place == level]
-                else:
-                    own = zip(lines, places, shared, strict=False)
-                    kept = [line for line, place, twice in own if place == LOOSE and not twice]
-                out.append(" ".join(kept))
+                lines = lines[: len(head)]
+                shared = shared_lines(prints_of(lines), other.as_py() or [])
+                out.append(" ".join(main_lines(lines, [int(c) for c in head], shared)))
             yield pa.array(out, pa.string())
 
     return run(packed, near)

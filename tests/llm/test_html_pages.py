@@ -28,3 +28,25 @@ def kept(page: str) -> list[str]:
 )
 def test_no_ancestor_takes_the_main_text(page):
     assert kept(page) == ["text"]
+
+
+def main(page: str, other: str = "") -> list[str]:
+    lines, places = zip(*html_extract.text_lines(page), strict=True)
+    near = html_extract.prints_of([line for line, _ in html_extract.text_lines(other)])
+    return html_extract.main_lines(lines, places, html_extract.shared_lines(html_extract.prints_of(lines), near))
+
+
+def test_marked_parts_stay_together():
+    assert main("<main><h1>T</h1><p>lead</p><article>part</article><p>more</p></main>") == ["T", "lead", "part", "more"]
+    assert main("<main>real text</main><aside><article>teaser</article></aside>") == ["real text"]
+    assert main("<nav>x<article>y") == ["y"]
+    assert main("<article>a</article><p>menu</p><article>b</article>", "<p>menu</p>") == ["a", "b"]
+
+
+def test_differencing_decides_between_marked_and_loose_lines():
+    text = "<div>A long text without marks.</div>"
+    page = f"<div>menu of the site</div>{text}<article>card</article>"
+    assert main(page, "<div>menu of the site</div><p>other</p><article>card</article>") == ["A long text without marks."]
+    assert main(f"<div>menu of the site</div><article>short {text}</article>", "<div>menu of the site</div>") == ["short", "A long text without marks."]
+    around = "<main><p>All news</p><article>own</article><p>Back to the list</p></main>"
+    assert main(around, "<main><p>All news</p><article>x</article><p>Back to the list</p></main>") == ["own"]
