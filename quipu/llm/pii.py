@@ -5,6 +5,8 @@ cuts every stretch of text that holds digits or ``@`` into segments of bounded l
 and labels them jointly: whole-span features (shape, digit counts, checksum, parts in
 range, the word before) score each candidate, label pairs score their sequence, and
 dynamic programming finds the best cut.  Its spans are added where no base span is.
+Long stretches, also chunks without any blank, are cut in overlapping windows, and a span is
+taken from the window that owns its start, so memory is bounded and no text is left out.
 
 The field is trained by gradient ascent on the likelihood of base spans in a bounded
 sample of stretches (``FIT_REGIONS``).  Features of different kinds share shapes, so
@@ -94,6 +96,7 @@ def base_spans(text: str | None) -> list[Span]:
 # --- stretches and candidate segments ----------------------------------------
 
 TRIGGER = re.compile(r"[0-9@]\S*")
+MARK = re.compile(r"[0-9@]+")
 ATOM = re.compile(r"[A-Za-z0-9_%-]+|\s+|.", re.S)
 IP_SHAPE = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 CARD_SHAPE = re.compile(r"[0-9](?:[\x20.-]?[0-9])+")
@@ -108,26 +111,56 @@ CUES = (
 )
 
 
-def regions(text: str | None) -> Iterator[tuple[int, int]]:
-    """Stretches of neighbouring chunks with digits or ``@``, each with one chunk before it."""
-    text = text or ""
+def _stretches(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches of neighbouring chunks with digits or ``@``, each with one chunk before it.
+
+    Of a chunk longer than a window only what is near a digit or ``@`` is taken: no span is longer than ``MAX_CHARS``.
+    """
     start = end = -1
     seen = 0
     for m in TRIGGER.finditer(text):
         low = max(seen, m.start() - MAX_CHARS)
         left = m.start() - len(text[low : m.start()].split()[-1]) if low < m.start() and not text[m.start() - 1].isspace() else m.start()
-        right = min(m.end(), m.start() + REGION_CHARS)
-        if start >= 0 and left - end <= 1 and right - start <= REGION_CHARS:
-            end = right
+        if m.end() - m.start() <= REGION_CHARS:
+            pieces = [(left, m.end())]
         else:
-            if start >= 0:
-                yield start, end
-            start, end = left, right
-        seen = right
+            marks = MARK.finditer(text, m.start(), m.end())
+            pieces = ((max(left, x.start() - MAX_CHARS), min(m.end(), x.end() + MAX_CHARS)) for x in marks)
+        for low, high in pieces:
+            if start >= 0 and low - end <= 1:
+                end = high
+            else:
+                if start >= 0:
+                    yield start, end
+                start, end = low, high
+        seen = m.end()
     if start >= 0:
         yield start, end
 
 
+def windows(text: str | None) -> Iterator[tuple[int, int, int, int]]:
+    """(start, end, first, last) of windows of at most ``REGION_CHARS`` over all stretches.
+
+    A window owns the spans that start in [first, last).  Windows of a long stretch
+    overlap, so that a span of ``MAX_CHARS`` stands whole in the window that owns it,
+    with as much text before it.
+    """
+    for start, end in _stretches(text or ""):
+        first = low = start
+        while end - low > REGION_CHARS:
+            high = low + REGION_CHARS
+            yield low, high, first, high - MAX_CHARS
+            first = high - MAX_CHARS
+            low = first - MAX_CHARS
+        yield low, end, first, end
+
+
+def regions(text: str | None) -> Iterator[tuple[int, int]]:
+    """The windows' bounds."""
+    for start, end, _, _ in windows(text):
+        yield start, end
+
+
 #: Names of the features; each is a weight of its own for the kinds that use it.
 FEATURES = {
     name: i
@@ -349,7 +382,8 @@ def spans(text: str | None, model: Field | None) -> tuple[list[Span], list[Span]
     more: list[Span] = []
     covered = sorted((s, e) for s, e, _ in base)
     at = 0
-    for start, end in regions(text):
+    done = 0
+    for start, end, own, stop in windows(text):
         grid = lattice(text, start, end)
         if all(len(row) <= 1 for row in grid.ending):
             continue
@@ -358,8 +392,10 @@ def spans(text: str | None, model: Field | None) -> tuple[list[Span], list[Span]
         near = [c for c in covered[at : at + MAX_CHARS * 8] if c[0] < end]
         for first, last, label in model.best(grid):
             s, e = grid.bounds[first], grid.bounds[last]
-            if all(e <= a or s >= b for a, b in near):
-                more.append((s, e, label))
+            if max(own, done) <= s < stop:
+                done = e
+                if all(e <= a or s >= b for a, b in near):
+                    more.append((s, e, label))
     return base, sorted(base + more, key=lambda s: (s[0], s[2], s[1]))
 
 
