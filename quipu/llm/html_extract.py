@@ -1,8 +1,9 @@
 """Main text of HTML pages by nearest-URL page differencing.
 
-Pages are cut into text lines, one per block element.  Within each host, URL paths
-are sorted and each is paired with the neighbour that shares the longest start with
-it.  Lines that the longest common subsequence of both pages aligns
+Pages are cut into text lines, one per block element.  Within each host, distinct pages
+are sorted by URL path and query, and each is paired with the nearest page of another path
+before or behind it, the one that shares the longest start with it; on a host of one path,
+with the nearest page that differs.  Lines that the longest common subsequence of both pages aligns
 are the site's furniture and go; so do lines inside elements that never hold main text
 (menus, footers, forms, adverts, comments, ...).  What the page itself marks as its
 article or main part stays, even where pages share a passage, except lines of a main part
@@ -10,15 +11,15 @@ around an article that the neighbour shares.  Where more text stands outside of
 that the neighbour does not share, the marks are no main text (a card, a teaser), and the
 alignment alone decides.
 
-The sort is a range partitioning; each partition also sees the last path of the one
-before and the first of the one after, so the pairing does not depend on where
-partitions end, and a large host is spread like any other.  Only hashes of lines are
-sorted.  Pages are parsed twice, which moves less than writing their lines: the
-second pass sends each page's lines, compressed, to the hashes of its neighbour.
+The sort is a range partitioning, and each partition is walked in both directions; what the
+open ends of partitions lack comes from the first and last rows of the others, so the pairing
+does not depend on where partitions end, and a large host is spread like any other.  Only
+hashes of lines are sorted.  Pages are parsed twice, which moves less than writing their lines:
+the second pass sends each page's lines, compressed, to the hashes of its neighbour.
 
 Defined cases: null html is empty and gives an empty text; a null URL, or one
-without ``://``, belongs to the host with the empty name; pages of equal host and
-path are compared with the same neighbour, never with each other.  Unclosed elements end with their parent, an
+without ``://``, belongs to the host with the empty name and one path; pages of a host with
+equal lines are compared with the same neighbour, never with each other.  Unclosed elements end with their parent, an
 unfinished tag at the end is dropped; a head ends where text or an element of the body begins.
 ``html``, ``body``, ``main`` and ``article`` are never furniture by their names, nor is a frame
 around the page's text; of a form that holds it only the controls go.  Empty tables give empty tables; columns other
@@ -28,14 +29,18 @@ than those named are not read.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from quipu.llm import url_filter
 from quipu.llm.common import column
@@ -300,28 +305,37 @@ def prints_of(lines: Sequence[str]) -> list[int]:
     return [(xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")) ^ _SIGN) - _SIGN for line in lines]
 
 
+def digest_of(prints: Sequence[int]) -> int:
+    """Signed 64-bit hash of a page's lines; pages of a host with equal digests are copies."""
+    return (xxhash.xxh64_intdigest(array("q", prints).tobytes()) ^ _SIGN) - _SIGN
+
+
 def page_prints(page: Column) -> Column:
-    @F.arrow_udf("array<long>")
+    kind = pa.struct([("digest", pa.int64()), ("prints", pa.list_(pa.int64()))])
+
+    @F.arrow_udf("digest long, prints array<long>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = [prints_of([line for line, _ in text_lines(p.as_py())]) for p in batch]
-            yield pa.array(found, pa.list_(pa.int64()))
+            yield pa.array([{"digest": digest_of(prints), "prints": prints} for prints in found], kind)
 
     return run(page)
 
 
 def packed_lines(page: Column) -> Column:
-    """Places and lines of a page, compressed: what a join has to move of it."""
+    """Places and lines of a page, compressed: what a join has to move of it; and the digest of the lines."""
+    kind = pa.struct([("digest", pa.int64()), ("packed", pa.binary())])
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("digest long, packed binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             out = []
             for p in batch:
                 lines = text_lines(p.as_py())
                 whole = "\n".join(["".join(str(place) for _, place in lines), *(line for line, _ in lines)])
-                out.append(zlib.compress(whole.encode("utf-8", "surrogatepass"), 1))
-            yield pa.array(out, pa.binary())
+                packed = zlib.compress(whole.encode("utf-8", "surrogatepass"), 1)
+                out.append({"digest": digest_of(prints_of([line for line, _ in lines])), "packed": packed})
+            yield pa.array(out, kind)
 
     return run(page)
 
@@ -359,58 +373,166 @@ def main_text(packed: Column, near: Column) -> Column:
     return run(packed, near)
 
 
+# --- pairing -------------------------------------------------------------------
+
+KEYS = [("host", pa.string()), ("path", pa.string()), ("query", pa.string()), ("digest", pa.int64())]
+PRINTS = pa.list_(pa.int64())
+ENTRY = pa.struct([("host", pa.string()), ("path", pa.string()), ("query", pa.string()), ("prints", PRINTS)])
+SIDES = [("before", pa.list_(ENTRY)), ("before_open", pa.list_(pa.bool_())), ("behind", pa.list_(ENTRY)), ("behind_open", pa.list_(pa.bool_()))]
+#: First pages of another path, then any different page of the host.
+LEVELS = 2
+
+
+def apart(a: dict, b: dict) -> tuple[bool, bool]:
+    """Per level, whether two different versions of one host, neighbours in the sort, may be compared."""
+    return a["path"] != b["path"], True
+
+
+def choose(own: dict, before: Sequence[dict | None], behind: Sequence[dict | None]) -> list[int] | None:
+    """Line hashes of the nearest page at the first level that has one: the longest common start, else the one before."""
+    link = f"{own['path']}?{own['query']}"
+    for prev, next_ in zip(before, behind, strict=True):
+        if prev and next_:
+            starts = [_common_start(link, f"{x['path']}?{x['query']}") for x in (prev, next_)]
+            return (next_ if starts[1] > starts[0] else prev)["prints"]
+        if prev or next_:
+            return (prev or next_)["prints"]
+    return None
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            yield from batch.slice(at, 256).to_pylist()
+
+
+def _batches(rows: Iterator[dict], fields: list[tuple[str, pa.DataType]]) -> Iterator[pa.RecordBatch]:
+    while part := list(itertools.islice(rows, 256)):
+        yield pa.RecordBatch.from_pylist(part, pa.schema(fields))
+
+
+def _walk(rows: Iterator[dict], side: str) -> Iterator[dict]:
+    """Adds to sorted rows, per level, the last version that is apart from the present run of versions.
+
+    A run that began with the rows is open: what is apart from it may stand in the next partition.
+    """
+    last, found, open_ = None, [None] * LEVELS, [True] * LEVELS
+    for row in rows:
+        entry = {name: row[name] for name in ("host", "path", "query", "prints")}
+        if last and last["host"] != entry["host"]:
+            found, open_ = [None] * LEVELS, [False] * LEVELS
+        elif last:
+            for level, new in enumerate(apart(last, entry)):
+                if new:
+                    found[level], open_[level] = last, False
+        yield {**row, side: list(found), f"{side}_open": list(open_), f"{side}_edge": last is None}
+        last = entry
+
+
+def _look_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _batches(_walk(_rows(batches), "before"), LOOKED)
+
+
+def _look_ahead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows from the last to the first: those whose neighbour is sure get it, the rest keep what is known."""
+
+    def judged() -> Iterator[dict]:
+        part = TaskContext.get().partitionId()
+        for row in _walk(_rows(batches), "behind"):
+            sure = any(row["before"][:1] + row["behind"][:1]) and not row["before_open"][0] and not row["behind_open"][0]
+            if sure or not any(row["before_open"] + row["behind_open"]):
+                near = choose(row, row["before"], row["behind"])
+                yield {**{name: row[name] for name, _ in KEYS}, "part": part, "sure": True, "near": near}
+            else:
+                prints = row["prints"] if row["before_edge"] or row["behind_edge"] else None
+                yield {**row, "part": part, "sure": False, "prints": prints}
+
+    yield from _batches(judged(), JUDGED)
+
+
+LOOKED = [*KEYS, ("prints", PRINTS), *SIDES[:2], ("before_edge", pa.bool_())]
+JUDGED = [*LOOKED, *SIDES[2:], ("behind_edge", pa.bool_()), ("part", pa.int32()), ("sure", pa.bool_()), ("near", PRINTS)]
+ENDS = [("of", pa.int32()), ("past", pa.list_(ENTRY)), ("coming", pa.list_(ENTRY))]
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From the first and last row of every partition: what is apart from a partition's open runs."""
+    firsts, lasts = {}, {}
+    for row in _rows(batches):
+        if row["before_edge"]:
+            firsts[row["part"]] = row
+        if row["behind_edge"]:
+            lasts[row["part"]] = row
+
+    def beyond(parts: list[int], near_edge: dict, far_edge: dict, side: str) -> dict:
+        got, at = {}, None
+        for part in parts:
+            got[part] = [None] * LEVELS
+            if at is not None and far_edge[at]["host"] == near_edge[part]["host"]:
+                edge = far_edge[at]
+                entry = {name: edge[name] for name in ("host", "path", "query", "prints")}
+                for level, new in enumerate(apart(edge, near_edge[part])):
+                    known = got[at] if edge[f"{side}_open"][level] else edge[side]
+                    got[part][level] = entry if new else known[level]
+            at = part
+        return got
+
+    parts = sorted(firsts)
+    past = beyond(parts, firsts, lasts, "before")
+    coming = beyond(parts[::-1], lasts, firsts, "behind")
+    yield from _batches(iter([{"of": p, "past": past[p], "coming": coming[p]} for p in parts]), ENDS)
+
+
+def _look_beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chosen() -> Iterator[dict]:
+        for row in _rows(batches):
+            before = [y if o else x for x, o, y in zip(row["before"], row["before_open"], row["past"], strict=True)]
+            behind = [y if o else x for x, o, y in zip(row["behind"], row["behind_open"], row["coming"], strict=True)]
+            yield {"host": row["host"], "digest": row["digest"], "near": choose(row, before, behind)}
+
+    yield from _batches(chosen(), [("host", pa.string()), ("digest", pa.int64()), ("near", PRINTS)])
+
+
+def _query(link: Column) -> Column:
+    """What follows the path; all of a link that has no host."""
+    return F.when(F.contains(link, F.lit("://")), F.regexp_extract(link, r"\?([^#]*)", 1)).otherwise(link)
+
+
 def nearest_prints(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """(host, path, near): for every URL path, the line hashes of the nearest other path of its host.
+    """(host, digest, near): for every distinct list of lines of a host, those of the nearest different page.
 
-    One page stands for all pages of a path, so crawled copies are never compared
-    with each other and a path with many pages is one row here.
+    One row stands for all copies within a host, so copies are never compared with
+    each other and a page with many copies is one row here.  Pages without lines have none.
     """
-    order = ["host", "path"]
+    order = ["host", "path", "query", "digest"]
     link = F.coalesce(column(pages, url), F.lit(""))
-    rows = pages.select(url_filter.host(link).alias("host"), url_filter.path(link).alias("path"), page_prints(column(pages, page)).alias("prints"))
-    one = rows.groupBy(*order).agg(F.max("prints").alias("prints"))  # an empty page is the smallest
-    placed = one.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = settle(placed.withColumn("part", F.spark_partition_id()), "op5-sorted")
-    entry = F.struct(*order, "prints")
-    ends = placed.groupBy("part").agg(
-        F.min_by(entry, F.struct(*order)).alias("first"), F.max_by(entry, F.struct(*order)).alias("last")
+    rows = pages.select(
+        url_filter.host(link).alias("host"), url_filter.path(link).alias("path"), _query(link).alias("query"), page_prints(column(pages, page)).alias("of")
     )
-    parts = Window.orderBy("part")  # one row per partition
-    ends = ends.select("part", F.lag("last").over(parts).alias("before"), F.lead("first").over(parts).alias("behind"))
-    inside = Window.partitionBy("part").orderBy(*order)
-    near = placed.select(
-        "part", *order, F.lag(entry).over(inside).alias("prev"), F.lead(entry).over(inside).alias("next")
-    ).join(ends.withColumnRenamed("part", "of"), F.col("part") == F.col("of"))
-    same_host = [F.when(c["host"] == F.col("host"), c) for c in (F.coalesce("prev", "before"), F.coalesce("next", "behind"))]
-    near = near.select(*order, same_host[0].alias("prev"), same_host[1].alias("next"))
-    follows = F.col("prev").isNull() | _closer(F.col("path"), F.col("prev.path"), F.col("next.path"))
-    return near.select(*order, F.when(follows, F.col("next.prints")).otherwise(F.col("prev.prints")).alias("near"))
-
-
-def _closer(path: Column, prev: Column, next_: Column) -> Column:
-    """Whether the next path shares a longer start than the previous one."""
-
-    @F.arrow_udf("boolean")
-    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for batch in batches:
-            rows = zip(*(x.to_pylist() for x in batch), strict=True)
-            yield pa.array([_common_start(p, c or "") > _common_start(p, b or "") for p, b, c in rows], pa.bool_())
-
-    return run(path, prev, next_)
+    rows = rows.select("host", "path", "query", "of.digest", "of.prints")
+    one = rows.groupBy("host", "digest").agg(F.min(F.struct("path", "query")).alias("at"), F.max("prints").alias("prints"))
+    one = one.select("host", "at.path", "at.query", "digest", "prints").where(F.size("prints") > 0)
+    placed = one.repartitionByRange(*order).sortWithinPartitions(*order)
+    looked = placed.mapInArrow(_look_back, from_arrow_schema(pa.schema(LOOKED)))
+    looked = looked.sortWithinPartitions(*[F.desc(c) for c in order])
+    judged = settle(looked.mapInArrow(_look_ahead, from_arrow_schema(pa.schema(JUDGED))), "op5-sorted")
+    edges = judged.where("before_edge OR behind_edge").repartition(1)  # two rows per partition
+    ends = edges.mapInArrow(_ends, from_arrow_schema(pa.schema(ENDS)))
+    rest = judged.where("NOT sure").join(ends, F.col("part") == F.col("of"))
+    kind = from_arrow_schema(pa.schema([("host", pa.string()), ("digest", pa.int64()), ("near", PRINTS)]))
+    return judged.where("sure").select("host", "digest", "near").unionByName(rest.mapInArrow(_look_beyond, kind))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    near = settle(nearest_prints(pages, url, page), "op5-near")
-    near = near.select(F.col("host").alias("of_host"), F.col("path").alias("of_path"), "near")
+    near = nearest_prints(pages, url, page).withColumnsRenamed({"host": "of_host", "digest": "of_digest"})
     link = F.coalesce(column(pages, url), F.lit(""))
     rows = pages.select(
         column(pages, key).alias("page_id"),
         column(pages, url).alias("url"),
         url_filter.host(link).alias("host"),
-        url_filter.path(link).alias("path"),
-        packed_lines(column(pages, page)).alias("packed"),
-    )
-    joined = rows.join(near, (F.col("host") == F.col("of_host")) & (F.col("path") == F.col("of_path")), "left")
+        packed_lines(column(pages, page)).alias("of"),
+    ).select("page_id", "url", "host", "of.digest", "of.packed")
+    joined = rows.join(near, (F.col("host") == F.col("of_host")) & (F.col("digest") == F.col("of_digest")), "left")
     texts = joined.select("page_id", "url", main_text(F.col("packed"), F.col("near")).alias("text"))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from quipu.llm import html_extract
@@ -50,3 +52,81 @@ def test_differencing_decides_between_marked_and_loose_lines():
     assert main(f"<div>menu of the site</div><article>short {text}</article>", "<div>menu of the site</div>") == ["short", "A long text without marks."]
     around = "<main><p>All news</p><article>own</article><p>Back to the list</p></main>"
     assert main(around, "<main><p>All news</p><article>x</article><p>Back to the list</p></main>") == ["own"]
+
+
+# --- pairing -------------------------------------------------------------------
+
+PAGES = "page_id long, url string, html string"
+
+
+def texts(spark, rows):
+    return {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, PAGES)).collect()}
+
+
+@pytest.mark.parametrize("url", ["http://h.example.com/?p={0}", "http://h.example.com/index.php?id={0}", "page {0}", None])
+def test_pages_of_one_path_are_paired(spark, url):
+    rows = [(i, url and url.format(i), f"<p>menu</p><p>own text {i}</p>") for i in range(12)]
+    assert texts(spark, rows + rows[:5]) == {i: f"own text {i}" for i in range(12)}
+
+
+def test_other_paths_come_before_pages_of_the_same_path(spark):
+    rows = [(i, f"http://h.example.com/a?v={i}", f"<p>menu</p><p>passage</p><p>own {i}</p>") for i in range(6)]
+    rows.append((6, "http://h.example.com/b", "<p>menu</p><p>other</p>"))
+    got = texts(spark, rows)
+    assert all(got[i] == f"passage own {i}" for i in range(6)) and got[6] == "other"
+
+
+def by_hand(rows):
+    """The neighbour of every version, by a walk from each."""
+    out = {}
+    for i, own in enumerate(rows):
+        sides = []
+        for step in (-1, 1):
+            side = []
+            for level in range(html_extract.LEVELS):
+                at = i
+                while 0 <= at + step < len(rows) and rows[at + step]["host"] == own["host"]:
+                    at += step
+                    if html_extract.apart(rows[at], rows[at - step])[level]:
+                        side.append(rows[at])
+                        break
+                else:
+                    side.append(None)
+            sides.append(side)
+        out[own["host"], own["digest"]] = html_extract.choose(own, *sides)
+    return out
+
+
+def test_pairing_against_a_walk_from_every_page(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(300):
+        host = rng.choice(["one", "some", "some", "many", "many"]) if i else "alone"
+        path = {"one": "x", "some": f"{rng.randint(0, 2)}", "many": f"{rng.randint(0, 40)}", "alone": ""}[host]
+        own = f"<p>{rng.randint(0, 150)} {'text ' * rng.randint(1, 30)}</p>"
+        rows.append((i, f"http://{host}.example/{path}?q={rng.randint(0, 3)}", f"<p>menu {rng.randint(0, 2)}</p>{own}"))
+    pages = spark.createDataFrame(rows, PAGES)
+    old = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.enabled")
+    seen = []
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for n in ("1", "7", "90"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = html_extract.nearest_prints(pages).collect()
+            seen.append({(r.host, r.digest): r.near for r in got})
+            assert len(got) == len(seen[-1])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old[0])
+        spark.conf.set("spark.sql.adaptive.enabled", old[1])
+    kinds = pages.select("url", html_extract.page_prints(pages["html"]).alias("p")).select("url", "p.*").collect()
+    first = {}
+    for r in kinds:
+        rest = r.url.split("://")[1]
+        host, path = rest.split("?")[0].split("/")
+        key = {"host": host, "path": "/" + path, "query": rest.split("?")[1], "digest": r.digest, "prints": r.prints}
+        best = first.setdefault((host, r.digest), key)
+        if (key["path"], key["query"]) < (best["path"], best["query"]):
+            first[host, r.digest] = key
+    want = by_hand(sorted(first.values(), key=lambda k: (k["host"], k["path"], k["query"], k["digest"])))
+    assert seen[0] == want and seen[1] == want and seen[2] == want
+    assert want[next(k for k in want if k[0] == "alone.example")] is None
