@@ -19,7 +19,9 @@ the second pass sends each page's lines, compressed, to the hashes of its neighb
 
 Defined cases: null html is empty and gives an empty text; a null URL, or one
 without ``://``, belongs to the host with the empty name and one path; pages of a host with
-equal lines are compared with the same neighbour, never with each other.  Unclosed elements end with their parent, an
+equal lines are compared with the same neighbour, never with each other.  Pages next to each
+other in the sort whose text is almost equal (``COPY_SHARE``) are passed over as copies; where
+all of a host's pages are, none is compared, so that no text is lost.  Unclosed elements end with their parent, an
 unfinished tag at the end is dropped; a head ends where text or an element of the body begins.
 ``html``, ``body``, ``main`` and ``article`` are never furniture by their names, nor is a frame
 around the page's text; of a form that holds it only the controls go.  Empty tables give empty tables; columns other
@@ -77,6 +79,7 @@ CONTROLS = frozenset("label legend optgroup option datalist output".split())
 NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 SKIPPED, LOOSE, MAIN, ARTICLE = range(4)
 _SIGN = 1 << 63
+WEIGHT = 15
 
 
 class _Element:
@@ -301,8 +304,13 @@ def _common_start(a: str, b: str) -> int:
 
 
 def prints_of(lines: Sequence[str]) -> list[int]:
-    """Signed 64-bit hashes of the lines."""
-    return [(xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")) ^ _SIGN) - _SIGN for line in lines]
+    """Signed hashes of the lines; of the 64 bits the last four are left for weights."""
+    return [((xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass")) & ~WEIGHT) ^ _SIGN) - _SIGN for line in lines]
+
+
+def weighted(prints: Sequence[int], lines: Sequence[tuple[str, int]]) -> list[int]:
+    """Hashes with the bit length of each line's length; lines that cannot be main text weigh nothing."""
+    return [p | min(WEIGHT, len(line).bit_length()) if place != SKIPPED else p for p, (line, place) in zip(prints, lines, strict=True)]
 
 
 def digest_of(prints: Sequence[int]) -> int:
@@ -316,8 +324,12 @@ def page_prints(page: Column) -> Column:
     @F.arrow_udf("digest long, prints array<long>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [prints_of([line for line, _ in text_lines(p.as_py())]) for p in batch]
-            yield pa.array([{"digest": digest_of(prints), "prints": prints} for prints in found], kind)
+            out = []
+            for p in batch:
+                lines = text_lines(p.as_py())
+                prints = prints_of([line for line, _ in lines])
+                out.append({"digest": digest_of(prints), "prints": weighted(prints, lines)})
+            yield pa.array(out, kind)
 
     return run(page)
 
@@ -366,7 +378,7 @@ def main_text(packed: Column, near: Column) -> Column:
             for page, other in zip(pages, others, strict=True):
                 head, *lines = zlib.decompress(page.as_py()).decode("utf-8", "surrogatepass").split("\n")
                 lines = lines[: len(head)]
-                shared = shared_lines(prints_of(lines), other.as_py() or [])
+                shared = shared_lines(prints_of(lines), [x & ~WEIGHT for x in other.as_py() or ()])
                 out.append(" ".join(main_lines(lines, [int(c) for c in head], shared)))
             yield pa.array(out, pa.string())
 
@@ -379,13 +391,29 @@ KEYS = [("host", pa.string()), ("path", pa.string()), ("query", pa.string()), ("
 PRINTS = pa.list_(pa.int64())
 ENTRY = pa.struct([("host", pa.string()), ("path", pa.string()), ("query", pa.string()), ("prints", PRINTS)])
 SIDES = [("before", pa.list_(ENTRY)), ("before_open", pa.list_(pa.bool_())), ("behind", pa.list_(ENTRY)), ("behind_open", pa.list_(pa.bool_()))]
-#: First pages of another path, then any different page of the host.
+#: First pages of another path, then any page that is no copy.
 LEVELS = 2
+#: Pages are almost equal if lines of less than this share of either's text are not in the other.
+COPY_SHARE = 0.05
+
+
+def _rest(own: Sequence[int], other: set[int]) -> float:
+    """The share of a page's text in lines that the other has not, by weights of about the lines' lengths."""
+    weights = [(x, 1 << (x & WEIGHT) if x & WEIGHT else 0) for x in own]
+    return sum(w for x, w in weights if x & ~WEIGHT not in other) / max(1, sum(w for _, w in weights))
+
+
+def almost_equal(a: Sequence[int], b: Sequence[int]) -> bool:
+    if a == b:
+        return True
+    sets = [{x & ~WEIGHT for x in page} for page in (a, b)]
+    return not sets[0].isdisjoint(sets[1]) and _rest(a, sets[1]) < COPY_SHARE and _rest(b, sets[0]) < COPY_SHARE
 
 
 def apart(a: dict, b: dict) -> tuple[bool, bool]:
     """Per level, whether two different versions of one host, neighbours in the sort, may be compared."""
-    return a["path"] != b["path"], True
+    new = not almost_equal(a["prints"], b["prints"])
+    return new and a["path"] != b["path"], new
 
 
 def choose(own: dict, before: Sequence[dict | None], behind: Sequence[dict | None]) -> list[int] | None:

@@ -130,3 +130,26 @@ def test_pairing_against_a_walk_from_every_page(spark):
     want = by_hand(sorted(first.values(), key=lambda k: (k["host"], k["path"], k["query"], k["digest"])))
     assert seen[0] == want and seen[1] == want and seen[2] == want
     assert want[next(k for k in want if k[0] == "alone.example")] is None
+
+
+@pytest.mark.parametrize("edited", ["", "<p>one more line {0}</p>"])
+def test_copies_do_not_take_the_whole_text(spark, edited):
+    own = "".join(f"<p>A long paragraph with number {{0}}.{i} of the main text, which stands on this page.</p>" for i in range(40))
+    menu = "<div>menu of the site</div>"
+    rows = []
+    for i in range(5):
+        rows.append((3 * i, f"http://h.example.com/{i}", menu + own.format(i)))
+        rows += [(3 * i + k, f"http://h.example.com/{i}/print{k}", menu + (own + edited * k).format(i)) for k in (1, 2)]
+    rows += [(100, "http://two.example/a", menu + own.format(9)), (101, "http://two.example/b", menu + (own + edited).format(9))]
+    got = texts(spark, rows)
+    want = [" ".join(line for line, _ in html_extract.text_lines(own.format(i))) for i in range(10)]
+    for i in range(5):
+        assert [got[3 * i + k] for k in range(3)] == [want[i] + f" one more line {i}" * (k if edited else 0) for k in range(3)]
+    assert got[100] == "menu of the site " + want[9] and got[101].startswith(got[100])
+
+
+def test_furniture_does_not_make_pages_almost_equal():
+    nav = "<nav>" + "<p>a long menu line of the site</p>" * 300 + "</nav>"
+    pages = [html_extract.text_lines(f"{nav}<div>Imprint</div><p>own text {i}</p>") for i in range(2)]
+    prints = [html_extract.weighted(html_extract.prints_of([line for line, _ in p]), p) for p in pages]
+    assert not html_extract.almost_equal(*prints) and html_extract.almost_equal(prints[0], list(prints[0]))
