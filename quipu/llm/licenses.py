@@ -83,6 +83,71 @@ TEMPLATES = (
         "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
         "notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ),
+    (
+        "boost-1.0",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "http://www.boost.org/LICENSE_1_0.txt)",
+    ),
+    (
+        "boost-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, '
+        "and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the "
+        "Software is furnished to do so, all subject to the following:",
+    ),
+    (
+        "bsd",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED.",
+    ),
+    (
+        "cc-by-4.0",
+        "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of "
+        'this Creative Commons Attribution 4.0 International Public License ("Public License").',
+    ),
+    (
+        "cc-by-nc-4.0",
+        "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of "
+        'this Creative Commons Attribution-NonCommercial 4.0 International Public License ("Public License").',
+    ),
+    (
+        "cc-by-sa-4.0",
+        "By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of "
+        'this Creative Commons Attribution-ShareAlike 4.0 International Public License ("Public License").',
+    ),
+    (
+        "cc0-1.0",
+        "has waived all copyright and related or neighboring rights to this work",
+    ),
+    (
+        "cc0-1.0",
+        "To the greatest extent permitted by, but not in contravention of, applicable law, Affirmer hereby overtly, fully, "
+        "permanently, irrevocably and unconditionally waives, abandons, and surrenders all of Affirmer's Copyright and Related "
+        "Rights and associated claims and causes of action, whether now known or unknown",
+    ),
+    (
+        "epl-1.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 "
+        "which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    ),
+    (
+        "epl-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    (
+        "epl",
+        'THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE ("AGREEMENT"). ANY USE, '
+        "REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES RECIPIENT'S ACCEPTANCE OF THIS AGREEMENT.",
+    ),
+    (
+        "zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions:",
+    ),
     (
         "mpl-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
@@ -101,27 +166,35 @@ def split_words(raw: bytes) -> list[bytes]:
 
 
 class Automaton:
-    """Generalised suffix automaton; each state knows, per template, one place where its runs end."""
+    """Generalised suffix automaton; each state knows, per template, the places where its runs end.
+
+    ``ends`` holds one of them, ``places`` all.
+    """
 
     def __init__(self, sequences: Sequence[Sequence[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         self.ends: list[dict[int, int]] = [{}]
+        self.places: list[dict[int, set[int]]] = [{}]
         for number, sequence in enumerate(sequences):
             last = 0
             for at, token in enumerate(sequence):
                 last = self._extend(last, token)
                 self.ends[last].setdefault(number, at + 1)
+                self.places[last].setdefault(number, set()).add(at + 1)
         for state in sorted(range(1, len(self.length)), key=lambda s: -self.length[s]):
             above = self.ends[self.link[state]]
             for number, end in self.ends[state].items():
                 above.setdefault(number, end)
+            for number, ends in self.places[state].items():
+                self.places[self.link[state]].setdefault(number, set()).update(ends)
 
     def _new(self, length: int, edges: dict[int, int], link: int) -> int:
         self.next.append(edges)
         self.link.append(link)
         self.length.append(length)
         self.ends.append({})
+        self.places.append({})
         return len(self.length) - 1
 
     def _split(self, state: int, token: int, target: int) -> int:
@@ -229,8 +302,8 @@ class Scanner:
     def _chain(self, out: Scan, matches: list[tuple[int, int, int]]) -> None:
         by_template: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
         for end, length, state in matches:
-            for template, to in self.automaton.ends[state].items():
-                by_template[template].append((end - length, end, to - length, to))
+            for template, ends in self.automaton.places[state].items():
+                by_template[template] += [(end - length, end, to - length, to) for to in ends]
         for template, found in by_template.items():
             for start, end, covered in _chains(found, self.sizes[template]):
                 share = min(1.0, covered / self.sizes[template])
@@ -261,7 +334,8 @@ def _chains(found: list[tuple[int, int, int, int]], size: int) -> Iterator[tuple
     """Runs of one template joined in order: (first word, end, words covered).
 
     Each run goes on from the best chain that ends at most ``MAX_GAP`` words before
-    it and not behind it in the template; overlaps count once.
+    it and not behind it in the template; overlaps count once.  A run that occurs more than
+    once in the template comes with each of its places.
     """
     chains: list[list[int]] = []  # start, end, place reached in the template, covered, continued
     low = 0
@@ -280,9 +354,12 @@ def _chains(found: list[tuple[int, int, int, int]], size: int) -> Iterator[tuple
         else:
             best[1][4] = 1
             chains.append([best[1][0], end, to, best[0], 0])
+    best_of: dict[int, tuple[int, int]] = {}  # chains with one start are readings of one passage
     for start, end, _, covered, continued in chains:
-        if not continued:
-            yield start, end, covered
+        if not continued and (covered, -end) > best_of.get(start, (0, 0)):
+            best_of[start] = covered, -end
+    for start, (covered, end) in best_of.items():
+        yield start, -end, covered
 
 
 @functools.cache

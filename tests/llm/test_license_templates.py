@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from quipu.llm import licenses
+
+
+def bsd() -> str:
+    return next(text for label, text in licenses.TEMPLATES if label == "bsd")
+
+
+def test_a_run_that_occurs_twice_does_not_break_a_chain():
+    words = bsd().split()
+    at = [i for i in range(len(words)) if words[i : i + 2] == ["this", "list"]][0]
+    words[at - 1], words[at + 8] = "banana", "cherry"  # the run between them stands later in the template, too
+    got = licenses.Scanner([("bsd", bsd())]).scan(" ".join(words))
+    n = len(licenses.split_words(bsd().encode()))
+    assert len(got.spans) == 1 and got.spans[0][1:3] == (0, n)
+    assert got.spans[0][3] == pytest.approx(1 - 2 / n)
+
+
+def test_places_are_all_ends_of_a_run():
+    rng = random.Random(4)
+    for _ in range(100):
+        sequences = [[rng.randint(0, 2) for _ in range(rng.randint(1, 9))] for _ in range(3)]
+        made = licenses.Automaton(sequences)
+        state = length = 0
+        text = [rng.randint(0, 2) for _ in range(20)]
+        for i, token in enumerate(text):
+            state, length = made.step(state, length, token)
+            run = text[i + 1 - length : i + 1]
+            if state:
+                want = {n: {e for e in range(length, len(s) + 1) if s[e - length : e] == run} for n, s in enumerate(sequences)}
+                assert made.places[state] == {n: ends for n, ends in want.items() if ends}
+
+
+@pytest.mark.parametrize(
+    "label, text",
+    [
+        ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: the origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+        ("cc0-1.0", "To the extent possible under law, A. Person has waived all copyright and related or neighboring rights to this work."),
+        ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+        ("epl", "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE (“AGREEMENT”). ANY USE, REPRODUCTION OR DISTRIBUTION OF THE PROGRAM CONSTITUTES RECIPIENT’S ACCEPTANCE OF THIS AGREEMENT."),
+        ("boost-1.0", "Distributed under the Boost Software License, Version 1.0. (See copy at http://www.boost.org/LICENSE_1_0.txt)"),
+    ],
+)
+def test_more_public_notices(label, text):
+    assert label in licenses.default_scanner().scan(text).labels
