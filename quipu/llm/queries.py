@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quipu.llm import decontaminate, exact_dedup, html_extract, licenses, pii, quality, sharding, simhash, tokens, url_filter
+from quipu.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    licenses,
+    merge_queue,
+    periodic,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    tokens,
+    url_filter,
+    whitening,
+)
 from quipu.llm.common import WORD
 from quipu.sources.tables import read_table
 
@@ -124,3 +138,20 @@ def _(spark, d):
 def _(spark, d):
     docs = read_table(spark, d, "documents", ["doc_id", "text"])
     return simhash.mark(docs).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op11_periodic_runs")
+def _(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return periodic.digests(docs, echoes=True).drop("text")
+
+
+@query("op12_whitening")
+def _(spark, d):
+    return whitening.components(read_table(spark, d, "embeddings", ["vec_id", "embedding"]), "vec_id", "embedding")
+
+
+@query("op13_bpe_merge_queue")
+def _(spark, d):
+    docs = read_table(spark, d, "documents", ["doc_id", "text"])
+    return merge_queue.digests(docs).drop("text")
