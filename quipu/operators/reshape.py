@@ -39,3 +39,27 @@ def user_rows(pairs: DataFrame, value: str) -> DataFrame:
     return pairs.groupBy("user_id").agg(cells.alias("cells")).select(
         "user_id", F.col("cells.i").alias("indices"), F.col("cells.v").alias("values")
     )
+
+
+#: Row and column ranges of one tile; a tile holds at most their product of cells.
+TILE_ROWS, TILE_COLUMNS = 4096, 2048
+
+
+def matrix_tiles(cells: DataFrame, row: str, column: str, value: str) -> DataFrame:
+    """Sparse matrix in tiles of row range x column range: (rb, cb, r, c, v).
+
+    ``row`` and ``column`` are positions from 0.  A row with many cells is spread over the
+    tiles of its range, a crowded column likewise, so no record grows with either side.
+    ``r`` and ``c`` are positions inside the tile.
+    """
+    placed = cells.select(
+        F.floor(F.col(row) / TILE_ROWS).alias("rb"),
+        F.floor(F.col(column) / TILE_COLUMNS).alias("cb"),
+        F.struct(
+            (F.col(row) % TILE_ROWS).cast("int").alias("r"),
+            (F.col(column) % TILE_COLUMNS).cast("int").alias("c"),
+            F.col(value).cast("double").alias("v"),
+        ).alias("cell"),
+    )
+    packed = placed.groupBy("rb", "cb").agg(F.collect_list("cell").alias("cells"))
+    return packed.select("rb", "cb", F.col("cells.r").alias("r"), F.col("cells.c").alias("c"), F.col("cells.v").alias("v"))
