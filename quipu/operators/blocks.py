@@ -31,6 +31,7 @@ FINEST_ROWS = 512
 BLOCK_CELLS = 40_000_000  # values of one block, about 0.5 GB with their positions
 SLICE_CELLS = 8_000_000  # cells of one dense set of vectors inside a task
 SCORE_CELLS = 500_000  # cells of one slice of scores, small enough for the processor cache
+PRUNE_PRODUCTS = 10**11  # pairs from which cells of similar vectors pay for themselves
 DIGITS = 9  # scores are ranked at this many decimals, so equal vectors tie exactly
 
 
@@ -55,6 +56,7 @@ def _vectors(df: DataFrame, key: str, tag: str | None, kind: str) -> DataFrame:
         (F.col(tag).cast("bigint") if tag else F.lit(None).cast("bigint")).alias("tag"),
         idx.alias("idx"),
         F.col("val").cast("array<double>").alias("val"),
+        (F.col("extra") if "extra" in df.columns else F.lit(None)).cast("array<double>").alias("extra"),
     )
 
 
@@ -81,35 +83,27 @@ def _cogroup(
     requested pairs, sorted by left row.
     """
     n_left, n_right, tasks = _grid(left, right, block_rows)
-    grid = ["lb", "rb"]
-    rows = left.select(
-        _block("id", n_left).alias("lb"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))).alias("rb"),
-        "id",
-        F.lit(None).cast(left.schema["id"].dataType).alias("other"),
-        "tag",
-        "idx",
-        "val",
-    )
+    rows = left.withColumns({"lb": _block("id", n_left), "rb": F.explode(F.sequence(F.lit(0), F.lit(n_right - 1)))})
+    columns = right.withColumns({"rb": _block("id", n_right), "lb": F.explode(F.sequence(F.lit(0), F.lit(n_left - 1)))})
+    asked = None
     if pairs is not None:
-        asked = pairs.select(
-            _block("id", n_left).alias("lb"),
-            _block("other", n_right).alias("rb"),
-            "id",
-            "other",
-            F.lit(None).cast("bigint").alias("tag"),
-            F.lit(None).cast("array<int>").alias("idx"),
-            F.lit(None).cast("array<double>").alias("val"),
-        )
-        rows = rows.unionByName(asked)
-    columns = right.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_left - 1))).alias("lb"),
-        _block("id", n_right).alias("rb"),
-        *[F.col(c).alias(f"r_{c}") for c in ("id", "tag", "idx", "val")],  # both sides may be the same frame
-    )
+        asked = pairs.select(_block("id", n_left).alias("lb"), _block("other", n_right).alias("rb"), "id", "other")
+    return _placed_cogroup(rows, columns, asked, kernel, schema, tasks)
+
+
+def _placed_cogroup(
+    rows: DataFrame, columns: DataFrame, asked: DataFrame | None, kernel: Callable, schema: str, tasks: int
+) -> DataFrame:
+    """``_cogroup`` for rows that know their cells ``lb`` and ``rb`` of the grid."""
+    grid, shape = ["lb", "rb"], ["id", "tag", "idx", "val", "extra"]
+    key = rows.schema["id"].dataType
+    rows = rows.select(*grid, *shape, F.lit(None).cast(key).alias("other"))
+    if asked is not None:
+        rows = rows.unionByName(asked.select(*grid, "id", "other"), allowMissingColumns=True)
+    columns = columns.select(*grid, *[F.col(c).alias(f"r_{c}") for c in shape])  # both sides may be the same frame
 
     def read(table: pa.Table) -> dict:
-        table = table.sort_by("id").combine_chunks()
+        table = table.sort_by([("id", "ascending"), ("tag", "ascending")]).combine_chunks()
         vals, idx = table["val"].combine_chunks(), table["idx"].combine_chunks()
         lens = vals.value_lengths().fill_null(0).to_numpy().astype(np.int64)
         flat = vals.flatten().to_numpy(zero_copy_only=False)
@@ -123,6 +117,7 @@ def _cogroup(
             "tags": table["tag"].to_numpy(),
             "lens": lens,
             "squares": np.bincount(owner, weights=flat**2, minlength=len(lens)),
+            "extra": table["extra"],
             "cells": (owner, cols, flat),
         }
 
@@ -185,31 +180,9 @@ def _cogroup(
     return lg.cogroup(rg).applyInArrow(run, schema)
 
 
-def block_topk(
-    left: DataFrame,
-    right: DataFrame,
-    k: int,
-    left_key: str,
-    right_key: str,
-    exclude: DataFrame | None = None,
-    measure: str = "dot",
-    block_rows: int = BLOCK_ROWS,
-    extremes: bool = False,
-) -> DataFrame:
-    """The ``k`` best right rows for every left row: (left key, right key, score).
-
-    ``exclude`` holds (left key, right key) pairs that must not appear.
-    ``measure`` is ``dot`` or, for 0/1 vectors, ``jaccard``.  Ties go to the
-    smaller right key.  With ``extremes`` the frame also has ``low`` and
-    ``high``, the least and greatest score over all pairs before exclusion.
-    """
-    kind = _key_type((left, left_key), (right, right_key))
+def topk_kernel(k: int, measure: str, kind: str, extremes: bool) -> tuple[Callable, str]:
+    """The best ``k`` right rows of a block for every left row of a block, and the schema of the result."""
     id_type = pa.int64() if kind == "bigint" else pa.string()
-    left_v = settle(_vectors(left, left_key, None, kind), "left")
-    right_v = settle(_vectors(right, right_key, None, kind), "right")
-    pairs = None
-    if exclude is not None:
-        pairs = exclude.select(F.col(left_key).cast(kind).alias("id"), F.col(right_key).cast(kind).alias("other"))
     digits = DIGITS
 
     def kernel(a, b, dense, products, slices, asked, width):
@@ -247,8 +220,48 @@ def block_topk(
             names += ["low", "high"]
         return pa.table(out, names=names)
 
-    schema = f"id {kind}, other {kind}, score double" + (", low double, high double" if extremes else "")
-    scored = _cogroup(left_v, right_v, pairs, kernel, schema, block_rows)
+    return kernel, f"id {kind}, other {kind}, score double" + (", low double, high double" if extremes else "")
+
+
+def block_topk(
+    left: DataFrame,
+    right: DataFrame,
+    k: int,
+    left_key: str,
+    right_key: str,
+    exclude: DataFrame | None = None,
+    measure: str = "dot",
+    block_rows: int = BLOCK_ROWS,
+    extremes: bool = False,
+    prune: bool | None = None,
+    count: dict | None = None,
+) -> DataFrame:
+    """The ``k`` best right rows for every left row: (left key, right key, score).
+
+    ``exclude`` holds (left key, right key) pairs that must not appear.
+    ``measure`` is ``dot`` or, for 0/1 vectors, ``jaccard``.  Ties go to the
+    smaller right key.  With ``extremes`` the frame also has ``low`` and
+    ``high``, the least and greatest score over all pairs before exclusion.
+
+    From ``PRUNE_PRODUCTS`` pairs on, or with ``prune``, cells of similar vectors are formed
+    first and only cells that can hold a result meet (``pruning``); the rows are the same.
+    ``count``, if given, then gets the number of pairs that met, and of all.
+    """
+    kind = _key_type((left, left_key), (right, right_key))
+    left_v = settle(_vectors(left, left_key, None, kind), "left")
+    right_v = settle(_vectors(right, right_key, None, kind), "right")
+    pairs = None
+    if exclude is not None:
+        pairs = exclude.select(F.col(left_key).cast(kind).alias("id"), F.col(right_key).cast(kind).alias("other"))
+    if prune is None:
+        prune = left_v.count() * right_v.count() >= PRUNE_PRODUCTS
+    if prune:
+        from quipu.operators.pruning import pruned_scores  # built on this module
+
+        scored = pruned_scores(left_v, right_v, pairs, k, measure, kind, extremes, count)
+    else:
+        kernel, schema = topk_kernel(k, measure, kind, extremes)
+        scored = _cogroup(left_v, right_v, pairs, kernel, schema, block_rows)
     best = Window.partitionBy("id").orderBy(F.desc(F.round("score", DIGITS)), "other")
     if extremes:
         scored = settle(scored, "scored")
