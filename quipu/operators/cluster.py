@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -15,8 +16,12 @@ from pyspark.sql import functions as F
 from quipu.functions.scores import squared_distance
 from quipu.operators.blocks import block_distance_sums, block_worst_ratio
 from quipu.operators.joins import broadcast_if_small
+from quipu.operators.multikmeans import STARTS, candidates, fit_many, points_of, start, sums_by_centre
 from quipu.session import settle, spill_cache
 
+STARVED = 0.01  # fixed value: share of the busiest centre's rows below which a centre starts again
+GAIN = 1e-3  # a pass that lowers the cost by less is the last
+
 
 def feature_vector(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=out).transform(df)
@@ -46,22 +51,22 @@ def nearest_center(vector: Column, centers: Sequence[Sequence[float]]) -> Column
     return F.array_min(F.array(*options))["n"]
 
 
-def total_squares(df: DataFrame, columns: Sequence[str]) -> float:
-    """Sum of squared distances to the common mean: the cost of a single cluster."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(columns)]).first()
-    return float(row["n"]) * sum(row[f"v{i}"] for i in range(len(columns)))
-
-
-def elbow_curve(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(1, 11), seed: int = 123) -> DataFrame:
-    """Within-cluster cost for every k; one distributed fit each."""
-    vectors = spill_cache(feature_vector(df, columns).select("features", *columns))
+def best_centers(
+    df: DataFrame, columns: Sequence[str], ks: Sequence[int], starts: int = STARTS, seed: int = 123
+) -> dict[int, tuple[float, list[list[float]]]]:
+    """Per k the least cost of several starts and its centres; all k and starts share their passes."""
+    vectors = spill_cache(points_of(df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("val")), "val"))
     try:
-        rows = [
-            (k, total_squares(vectors, columns) if k == 1 else float(kmeans_fit(vectors, k, seed).summary.trainingCost))
-            for k in ks
-        ]
+        return {k: (cost, c.tolist()) for k, (cost, c) in fit_many(vectors, len(columns), ks, starts, seed).items()}
     finally:
         vectors.unpersist()
+
+
+def elbow_curve(
+    df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(1, 11), seed: int = 123, starts: int = STARTS
+) -> DataFrame:
+    """Least within-cluster cost of several starts for every k, fitted together."""
+    rows = [(k, float(cost)) for k, (cost, _) in best_centers(df, columns, ks, starts, seed).items()]
     return df.sparkSession.createDataFrame(pd.DataFrame(rows, columns=["k", "cost"]), "k int, cost double")
 
 
@@ -80,7 +85,7 @@ def cluster_centers(df: DataFrame, label: str, vector: str, size: int) -> DataFr
 def davies_bouldin(df: DataFrame, label: str, vector: str, size: int) -> DataFrame:
     """Mean over clusters of the worst (spread + spread) / centre distance."""
     points = df.select(label, F.transform(F.col(vector), lambda x: x.cast("double")).alias("val"))
-    centers = cluster_centers(points, label, "val", size)
+    centers = settle(cluster_centers(points, label, "val", size), "centers")
     spread = (
         points.join(broadcast_if_small(centers), label)
         .groupBy(label)
@@ -117,32 +122,49 @@ def silhouette_exact(df: DataFrame, key: str, label: str, vector: str) -> DataFr
     return per_point.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
 
 
-def block_fit(df: DataFrame, key: str, vector: str, size: int, k: int, blocks: int = 4, passes: int = 2) -> list[list[float]]:
+def block_fit(
+    df: DataFrame, key: str, vector: str, size: int, k: int, blocks: int = 16, passes: int = 3, seed: int = 2
+) -> list[list[float]]:
     """Centres of the mini-batch solver.
 
-    Rows fall into blocks by the hash of their key.  Each block in turn moves the
-    centres to the mean of all rows they have met, so a pass reads every row once.
+    Rows fall into mini-batches by the hash of their key, so a pass reads every row once;
+    on a cluster a batch is a share of the rows and not a fixed number.  Starts come from
+    weighted k-means++ on shared candidates.  Each batch in turn moves the centres to the
+    mean of all rows they have met.  A centre that has met less than ``STARVED`` of the
+    busiest one's rows starts again, at the end of a pass, from the point farthest from all
+    centres, and forgets what it met.  Passes end early when their cost no longer falls.
     Only the centres, ``k`` rows of ``size`` numbers, are on the driver.
     """
-    points = df.select(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("__block"), F.col(vector).alias("val"))
-    start = points.groupBy("val").agg(F.min(F.xxhash64("val")).alias("h")).orderBy("h", "val").limit(k)
-    centers = [list(map(float, r["val"])) for r in start.collect()]
-    met = [0] * len(centers)
-    for turn in range(passes * blocks):
-        near = points.where(F.col("__block") == turn % blocks).select(nearest_center(F.col("val"), centers).alias("c"), "val")
-        sums = near.groupBy("c").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("val")[i]).alias(f"s{i}") for i in range(size)])
-        for r in sums.collect():
-            at = r["c"] - 1
-            met[at] += r["n"]
-            # The running mean: what is new weighs as much as what was met before.
-            centers[at] = [c + (r[f"s{i}"] - r["n"] * c) / met[at] for i, c in enumerate(centers[at])]
-    return centers
+    batch = F.pmod(F.xxhash64(key), F.lit(blocks)).alias("__block")
+    points = settle(df.select(F.col(vector).cast("array<double>").alias("val"), batch).where(F.col("val").isNotNull()), "batches")
+    chosen, weights = candidates(points, size, k, seed)
+    centers = start(chosen, weights, k, np.random.default_rng([seed, k]))
+    met, last = np.zeros(len(centers)), float("inf")
+    for turn in range(passes):
+        cost = 0.0
+        for b in range(blocks):
+            for at, (n, part, total) in sums_by_centre(points.where(F.col("__block") == b), [centers], size).items():
+                cost += part
+                met[at] += n
+                # The running mean: what is new weighs as much as what was met before.
+                centers[at] += (total - n * centers[at]) / met[at]
+        starved = np.flatnonzero(met < STARVED * met.max())
+        if not len(starved) and cost > (1 - GAIN) * last:
+            break
+        last = cost
+        if turn < passes - 1:
+            for at in starved:
+                others = [c for i, c in enumerate(centers.tolist()) if i != at]
+                far = F.array_min(F.array(*[squared_distance(F.col("val"), F.array(*map(F.lit, c))) for c in others]))
+                centers[at] = points.select("val", far.alias("d")).orderBy(F.desc("d"), "val").first()["val"]
+                met[at] = 0.0
+    return centers.tolist()
 
 
 def compare_clusterings(
-    df: DataFrame, key: str, columns: Sequence[str], ks: Sequence[int] = range(3, 7), seed: int = 1
+    df: DataFrame, key: str, columns: Sequence[str], ks: Sequence[int] = range(3, 7), seed: int = 1, starts: int = STARTS
 ) -> DataFrame:
-    """Davies-Bouldin and silhouette for several k, by the full and by the block-wise solver.
+    """Davies-Bouldin and silhouette for several k, by the full and by the mini-batch solver.
 
     Both solvers fit on all rows and are judged on all rows.
     """
@@ -150,9 +172,11 @@ def compare_clusterings(
     base = spill_cache(base)
     rows = []
     try:
+        fitted_all = fit_many(base.select("val"), len(columns), ks, starts, seed)
         for k in ks:
             blockwise = nearest_center(F.col("val"), block_fit(base, key, "val", len(columns), k))
-            fitted = {"full": kmeans_assign(kmeans_fit(base, k, seed), base), "blocks": base.withColumn("cluster", blockwise)}
+            full = nearest_center(F.col("val"), fitted_all[k][1].tolist())
+            fitted = {"full": base.withColumn("cluster", full), "blocks": base.withColumn("cluster", blockwise)}
             for solver, labelled in fitted.items():
                 db = davies_bouldin(labelled, "cluster", "val", len(columns)).first()[0]
                 rows.append((k, solver, float(db), float(silhouette_squared(labelled, "features", "cluster"))))

@@ -441,8 +441,9 @@ def _standard_features(spark, d):
 @query("kmeans_fit")
 def _(spark, d):
     scaled, cols = _standard_features(spark, d)
-    vectors = cluster.feature_vector(scaled, cols)
-    return cluster.kmeans_assign(cluster.kmeans_fit(vectors, 4), vectors).select("day", "user_id", "cluster")
+    _, centers = cluster.best_centers(scaled, cols, [4])[4]
+    vector = F.array(*[F.col(c) for c in cols])
+    return scaled.select("day", "user_id", cluster.nearest_center(vector, centers).alias("cluster"))
 
 
 @query("elbow_curve")
