@@ -3,8 +3,14 @@
 The automaton holds every token run of every template.  A text streams through it
 word by word; at each word the state gives the longest run ending there that some
 template contains.  Runs of ``MIN_RUN`` words or more are chained, in text order and
-template order with small gaps, into covered spans; a span covering at least
-``MIN_COVER`` of its template gives that template's label.
+template order with small gaps, into covered spans.  A span covering at least
+``MIN_COVER`` of its template gives that template's label, if it is no near miss: it holds
+the words by which licences are told apart (names, and the version where the label has
+one) or at least no other version in their place, no name that the template lacks stands
+between its runs, and in a template of fewer than ``SHORT`` words none of them is missing
+and no word at all is inserted.  Where spans of different labels overlap,
+the one with the most covered and the fewest inserted words stays.  A near miss scores
+``NEAR_MISS`` at most.
 
 Besides, three phrases of fixed labels are counted wherever their words follow each
 other.
@@ -17,7 +23,9 @@ empty tables give empty tables.  Columns other than id and text are not read.
 from __future__ import annotations
 
 import functools
+import re
 import string
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
@@ -30,8 +38,16 @@ from pyspark.sql import functions as F
 MIN_RUN = 3
 MAX_GAP = 10
 MIN_COVER = 0.6
+SHORT = 15
+NEAR_MISS = 0.5
 PIECE = 1 << 20
 
+#: Words that name a licence or a variant of one.
+NAMES = frozenset(
+    "academic affero apache artistic boost bsd cc cddl creative eclipse epl eupl gnu isc lesser lgpl agpl microsoft mit mozilla mpl nc "
+    "nd noderivatives noderivs noncommercial sa sharealike unported zlib".split()
+)
+
 #: Phrases and labels of the contract.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
@@ -68,6 +84,21 @@ TEMPLATES = (
         "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     ),
+    ("agpl-3.0", "licensed under the GNU Affero General Public License, version 3"),
+    ("lgpl-3.0", "licensed under the GNU Lesser General Public License, version 3"),
+    (
+        "agpl-notice",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+        "later version.",
+    ),
+    (
+        "lgpl-notice",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    ),
     (
         "isc",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
@@ -156,6 +187,8 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
+_NUMBERS = frozenset(f"{v}{n}".encode() for n in range(100) for v in ("", "v"))
+_TELLING = _NUMBERS | {n.encode() for n in NAMES}
 _ASCII_WORD = set((string.ascii_letters + string.digits).encode())
 #: A-Z become a-z, every other ASCII character that is no part of a word a blank.
 _TABLE = bytes(ord(chr(b).lower()) if b < 128 and b in _ASCII_WORD else b if b >= 128 else 32 for b in range(256))
@@ -249,18 +282,29 @@ class Scanner:
         self.labels = [label for label, _ in templates]
         sequences = [self._codes(text) for _, text in templates]
         self.sizes = [len(s) for s in sequences]
+        self.required = [self._required(label, text) for label, text in templates]
         self.phrases = [(self._codes(phrase), label) for phrase, label in phrases]
         self.automaton = Automaton(sequences)
 
     def _codes(self, text: str) -> list[int]:
         return [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in split_words(text.encode())]
 
+    def _required(self, label: str, text: str) -> list[set[int]]:
+        """Per word that tells the template from others, its places in it; one of them must be covered."""
+        version = re.findall(r"\d+", label)
+        places: dict[bytes, set[int]] = defaultdict(set)
+        for at, word in enumerate(split_words(text.encode())):
+            if word.decode() in NAMES or word.decode().removeprefix("v") in version:
+                places[word].add(at)
+        return list(places.values())
+
     def scan(self, text: str | None, piece: int = PIECE) -> Scan:
         out = Scan()
         known = self.vocabulary.get
         raw = (text or "").encode("utf-8", "surrogatepass")
         overlap = max(len(p) for p, _ in self.phrases) - 1
         matches: list[tuple[int, int, int]] = []  # (end, length, state)
+        telling: list[tuple[int, bool]] = []  # places of names and of version numbers, known to templates or not
         state = length = 0
         last = -1
         carried = np.empty(0, np.int64)
@@ -268,6 +312,7 @@ class Scanner:
             words = split_words(part)
             codes = np.fromiter((known(w, -1) for w in words), np.int64, len(words))
             self._phrases(out, np.concatenate([carried, codes]), out.n_words - len(carried))
+            telling += [(out.n_words + i, w in _NUMBERS) for i, w in enumerate(words) if w in _TELLING]
             for at in np.flatnonzero(codes >= 0):
                 place, token = out.n_words + int(at), int(codes[at])
                 if state and place != last + 1:
@@ -282,7 +327,7 @@ class Scanner:
             carried = np.concatenate([carried, codes])[-overlap:] if overlap else carried
         if state:
             _keep(matches, last + 1, length, state)
-        self._chain(out, matches)
+        self._chain(out, matches, telling)
         return out
 
     def _phrases(self, out: Scan, codes: np.ndarray, start: int) -> None:
@@ -299,20 +344,47 @@ class Scanner:
                 out.last_word = int(at[-1]) if out.last_word is None else max(out.last_word, int(at[-1]))
                 out.base_labels.add(label)
 
-    def _chain(self, out: Scan, matches: list[tuple[int, int, int]]) -> None:
+    def _chain(self, out: Scan, matches: list[tuple[int, int, int]], telling: list[tuple[int, bool]]) -> None:
         by_template: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
         for end, length, state in matches:
             for template, ends in self.automaton.places[state].items():
                 by_template[template] += [(end - length, end, to - length, to) for to in ends]
+        spans: list[tuple[int, str, int, int, float]] = []
         for template, found in by_template.items():
-            for start, end, covered in _chains(found, self.sizes[template]):
-                share = min(1.0, covered / self.sizes[template])
-                out.score = max(out.score, share)
-                if share >= MIN_COVER:
-                    out.spans.append((self.labels[template], start, end, share))
+            size = self.sizes[template]
+            for start, end, covered, runs in _chains(found, size):
+                share = min(1.0, covered / size)
+                inserted = end - start - covered
+                held = {p for _, _, at, to in runs for p in range(at, to)}
+                within = telling[bisect_left(telling, (start,)) : bisect_left(telling, (end,))]
+                between = {number for p, number in within if not any(a <= p < e for a, e, _, _ in runs)}
+                missing = any(not held & places for places in self.required[template])
+                # A long passage may lack a name, as where its link was cut out, but have no other version instead.
+                near_miss = (size < SHORT and (inserted > 0 or missing)) or False in between or (missing and True in between)
+                out.score = max(out.score, min(share, NEAR_MISS) if near_miss else share)
+                if share >= MIN_COVER and not near_miss:
+                    spans.append((covered - inserted, self.labels[template], start, end, share))
+        out.spans = _best_aligned(spans)
         out.labels = out.base_labels | {s[0] for s in out.spans}
 
 
+def _best_aligned(spans: list[tuple[int, str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """The spans without those that lie mostly under a better one of another label, by place."""
+    kept: list[tuple[int, str, int, int, float]] = []
+    by_start: list[tuple[int, int, str, int]] = []
+    longest = max((s[3] - s[2] for s in spans), default=0)
+    for span in sorted(spans, key=lambda s: (-s[0], s[2], s[1])):
+        gain, label, start, end, _ = span
+        low, high = bisect_left(by_start, (start - longest,)), bisect_left(by_start, (end,))
+        if not any(
+            other != label and better > gain and 2 * (min(end, e) - max(start, s)) > end - start
+            for s, e, other, better in by_start[low:high]
+        ):
+            kept.append(span)
+            insort(by_start, (start, end, label, gain))
+    return [s[1:] for s in sorted(kept, key=lambda s: (s[2], s[3], s[1]))]
+
+
 def _keep(matches: list[tuple[int, int, int]], end: int, length: int, state: int) -> None:
     if length >= MIN_RUN:
         matches.append((end, length, state))
@@ -330,16 +402,17 @@ def _parts(raw: bytes, size: int) -> Iterator[bytes]:
     yield raw[start:]
 
 
-def _chains(found: list[tuple[int, int, int, int]], size: int) -> Iterator[tuple[int, int, int]]:
-    """Runs of one template joined in order: (first word, end, words covered).
+def _chains(found: list[tuple[int, int, int, int]], size: int) -> Iterator[tuple[int, int, int, list]]:
+    """Runs of one template joined in order: (first word, end, words covered, runs).
 
     Each run goes on from the best chain that ends at most ``MAX_GAP`` words before
     it and not behind it in the template; overlaps count once.  A run that occurs more than
     once in the template comes with each of its places.
     """
-    chains: list[list[int]] = []  # start, end, place reached in the template, covered, continued
+    chains: list[list] = []  # start, end, place reached in the template, covered, continued, run, chain before
     low = 0
-    for start, end, at, to in sorted(found):
+    for run in sorted(found):
+        start, end, at, to = run
         while low < len(chains) and chains[low][1] < start - MAX_GAP - size:
             low += 1
         best = None
@@ -350,16 +423,21 @@ def _chains(found: list[tuple[int, int, int, int]], size: int) -> Iterator[tuple
                 if best is None or gain > best[0]:
                     best = (gain, chain)
         if best is None:
-            chains.append([start, end, to, end - start, 0])
+            chains.append([start, end, to, end - start, 0, run, None])
         else:
             best[1][4] = 1
-            chains.append([best[1][0], end, to, best[0], 0])
-    best_of: dict[int, tuple[int, int]] = {}  # chains with one start are readings of one passage
-    for start, end, _, covered, continued in chains:
-        if not continued and (covered, -end) > best_of.get(start, (0, 0)):
-            best_of[start] = covered, -end
-    for start, (covered, end) in best_of.items():
-        yield start, -end, covered
+            chains.append([best[1][0], end, to, best[0], 0, run, best[1]])
+    best_of: dict[int, list] = {}  # chains with one start are readings of one passage
+    for chain in chains:
+        start, end, _, covered, continued, _, _ = chain
+        if not continued and (start not in best_of or (covered, -end) > (best_of[start][3], -best_of[start][1])):
+            best_of[start] = chain
+    for chain in best_of.values():
+        runs, link = [], chain
+        while link is not None:
+            runs.append(link[5])
+            link = link[6]
+        yield chain[0], chain[1], chain[3], runs[::-1]
 
 
 @functools.cache

@@ -48,3 +48,83 @@ def test_places_are_all_ends_of_a_run():
 )
 def test_more_public_notices(label, text):
     assert label in licenses.default_scanner().scan(text).labels
+
+
+LGPL = (
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+    "as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+)
+AGPL = LGPL.replace("Lesser", "Affero").replace("library", "program").replace("2.1", "3")
+GRANT = next(t for label, t in licenses.TEMPLATES if label == "cc-by-4.0" and "exercising" in t)
+
+
+@pytest.mark.parametrize(
+    "text, wrong, right",
+    [
+        ("Licensed under the Microsoft License", {"mit", "apache-2.0"}, set()),
+        ("licensed under the Mozilla license", {"mit", "mpl-2.0"}, set()),
+        ("Released under the BSD License", {"mit"}, set()),
+        ("licensed under the GNU Lesser General Public License, version 3", {"gpl-3.0"}, {"lgpl-3.0"}),
+        ("licensed under the GNU Affero General Public License, version 3", {"gpl-3.0"}, {"agpl-3.0"}),
+        ("licensed under the GNU Library General Public License, version 3", {"gpl-3.0", "lgpl-3.0"}, set()),
+        ("licensed under the GNU General Public License, version 2", {"gpl-3.0"}, set()),
+        ("Licensed under the Apache License, Version 1.1", {"apache-2.0"}, set()),
+        ("Licensed under CC BY-SA 3.0", {"cc-by-sa-4.0", "cc-by-4.0"}, set()),
+        ("Licensed under CC BY-NC-ND 4.0", {"cc-by-nc-4.0", "cc-by-4.0"}, set()),
+        ("licensed under a Creative Commons Attribution 3.0 Unported License", {"cc-by-4.0"}, set()),
+        ("licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License", {"cc-by-4.0", "cc-by-nc-4.0", "cc-by-sa-4.0"}, set()),
+        (GRANT.replace("Attribution", "Attribution-NonCommercial-NoDerivatives"), {"cc-by-4.0", "cc-by-nc-4.0", "cc-by-sa-4.0"}, set()),
+        (GRANT.replace("Attribution", "Attribution-ShareAlike"), {"cc-by-4.0", "cc-by-nc-4.0"}, {"cc-by-sa-4.0"}),
+        (LGPL, {"gpl-notice", "gpl-3.0", "agpl-notice"}, {"lgpl-notice"}),
+        (AGPL, {"gpl-notice", "gpl-3.0", "lgpl-notice"}, {"agpl-notice"}),
+        ("subject to the terms of the Mozilla Public License, v. 1.1. If a copy of the MPL was not distributed with this file, You can obtain one at", {"mpl-2.0"}, set()),
+        ("Released under the fine MIT License", {"mit"}, set()),
+        ("We say: licensed under the MIT License.", set(), {"mit"}),
+    ],
+)
+def test_near_misses_get_no_label(text, wrong, right):
+    for padded in (text, "some words before it " + text + " and some behind"):
+        got = licenses.default_scanner().scan(padded)
+        assert not wrong & got.labels
+        assert right <= got.labels
+        assert got.score == 1.0 or (right and got.score > licenses.NEAR_MISS) or got.score <= licenses.MIN_COVER
+
+
+def exhaustive(found, size):
+    """The most words that any admissible sequence of runs covers."""
+    best = 0
+
+    def go_on_from(start, s, e, t, covered):
+        nonlocal best
+        best = max(best, covered)
+        for s2, e2, at2, t2 in found:
+            twice = max(0, e - s2, t - at2)
+            if (s2, e2) > (s, e) and s2 - e <= licenses.MAX_GAP and t <= t2 and twice < e2 - s2 and start < s2:
+                go_on_from(start, s2, e2, t2, covered + e2 - s2 - twice)
+
+    for s, e, _, t in found:
+        go_on_from(s, s, e, t, e - s)
+    return best
+
+
+def test_chains_against_all_sequences_of_runs():
+    rng = random.Random(6)
+    reached = 0
+    for _ in range(400):
+        size = 30
+        found = []
+        for _ in range(rng.randint(1, 6)):
+            n, s, at = rng.randint(3, 7), rng.randint(0, 30), rng.randint(0, size - 7)
+            found.append((s, s + n, at, at + n))
+        want = exhaustive(found, size)
+        got = max(c for _, _, c, _ in licenses._chains(found, size))
+        assert got <= want
+        reached += got == want
+    assert reached >= 396  # a run goes on from its best chain only
+
+
+def test_runs_of_a_chain_are_given():
+    words = bsd().split()
+    words[10] = "banana"
+    (chain,) = [c for c in licenses._chains([(0, 10, 0, 10), (11, 30, 11, 30)], 60)]
+    assert chain == (0, 30, 29, [(0, 10, 0, 10), (11, 30, 11, 30)])
