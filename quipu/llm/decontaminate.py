@@ -4,7 +4,9 @@ A window of L words always holds one block of q = (L + 1) // 2 words that starts
 a multiple of q.  So only every q-th block of a document is looked up in the
 broadcast set of blocks that occur in the benchmark's windows; only around a hit are
 whole windows formed and compared, as text, with the benchmark's windows.  The result
-equals a scan of every window.
+equals a scan of every window.  Words are hashed once and blocks by the hashes of their
+words; blocks of all lengths are looked up in one pass, whose rows are numbered and
+written once, so nothing depends on how the documents are split when read.
 
 Defined cases: a null or empty text has no words and is clean; an item without words
 has no window, one with fewer than ``n`` words is one window of its own length.
@@ -22,7 +24,7 @@ from quipu.llm.common import column, without_rows, words
 from quipu.session import settle
 
 WINDOW = 10
-#: Rows of one broadcast: more of them are scanned for in several passes over the documents.
+#: Rows of one broadcast.  More blocks are joined by a shuffle, more windows compared in parts.
 BROADCAST_ROWS = 500_000
 
 
@@ -40,10 +42,19 @@ def windows(items: DataFrame, key: str = "item_id", text: str = "text", n: int =
     return rows.select("item_id", "length", _run("w", F.col("at"), F.col("length")).alias("window")).distinct()
 
 
+def _word_hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
+def _block_hash(hashes: str, start: Column, q: int) -> Column:
+    return F.xxhash64(F.slice(hashes, (start + 1).cast("int"), q))
+
+
 def _blocks(texts: DataFrame, q: int) -> DataFrame:
-    """Hashes of all q-word blocks inside the windows."""
-    parts = texts.select(F.split("window", " ").alias("w")).select("w", F.explode(F.sequence(F.lit(0), F.size("w") - q)).alias("at"))
-    return parts.select(F.xxhash64(_run("w", F.col("at"), F.lit(q))).alias("block")).distinct()
+    """(q, block): hashes of all q-word blocks inside the windows."""
+    hashed = texts.select(_word_hashes(F.split("window", " ")).alias("h"))
+    parts = hashed.select("h", F.explode(F.sequence(F.lit(0), F.size("h") - q)).alias("at"))
+    return parts.select(F.lit(q).alias("q"), _block_hash("h", F.col("at"), q).alias("block"))
 
 
 def _passes(df: DataFrame, by: Column, rows: int) -> list[DataFrame]:
@@ -74,48 +85,49 @@ def scan(
     tokens = docs.select(column(docs, key).alias("doc_id"), column(docs, text).alias("t")).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("t").alias("text_key"), words(F.col("t")).alias("w")
     )
-    parts: list[DataFrame] = []
-    rows: DataFrame | None = None
-    for q in sorted({(length + 1) // 2 for length in lengths}) or [1]:
-        of_q = [length for length in lengths if (length + 1) // 2 == q]
-        blocks = settle(_blocks(texts.where(F.col("length").isin(of_q)), q), "op7-blocks")
-        for some in _passes(blocks, F.col("block"), broadcast):
-            near = _near_hits(tokens, some, q, max(of_q, default=0), rows is None)
-            near = settle(near, "op7-near")
-            rows = near.where("at = 0").select("row", "doc_id", "text_key", "n_words") if rows is None else rows
-            for length in of_q:
-                parts.append(_verified(near, texts.where(F.col("length") == length), length, q, broadcast))
-    hits = parts[0] if parts else rows.select("row", *[F.lit(0).alias(c) for c in ("at", "length")], F.lit("").alias("window")).limit(0)
-    for more in parts[1:]:
-        hits = hits.unionByName(more)
+    longest = {q: [n for n in lengths if (n + 1) // 2 == q] for q in sorted({(n + 1) // 2 for n in lengths})} or {1: []}
+    blocks: DataFrame | None = None
+    for q, of_q in longest.items():
+        own = _blocks(texts.where(F.col("length").isin(of_q)), q)
+        blocks = own if blocks is None else blocks.unionByName(own)
+    blocks = settle(blocks.distinct(), "op7-blocks")
+    near = settle(_near_hits(tokens, blocks, {q: max(of_q, default=0) for q, of_q in longest.items()}, broadcast), "op7-near")
+    rows = near.where(F.col("first")).select("row", "doc_id", "text_key", "n_words")
+    hits = rows.select("row", *[F.lit(0).alias(c) for c in ("at", "length")], F.lit("").alias("window")).limit(0)
+    for q, of_q in longest.items():
+        for length in of_q:
+            own = texts.where(F.col("length") == length)
+            hits = hits.unionByName(_verified(near.where(F.col("q") == q), own, length, q, broadcast))
     return rows, settle(hits.distinct(), "op7-hits"), known
 
 
-def _near_hits(tokens: DataFrame, blocks: DataFrame, q: int, longest: int, all_rows: bool) -> DataFrame:
+def _near_hits(tokens: DataFrame, blocks: DataFrame, longest: dict[int, int], broadcast: int) -> DataFrame:
     """Blocks at multiples of q that the benchmark holds, with the words around them.
 
-    With ``all_rows`` the first block of every document is returned whether it is
-    held or not, so that the same pass lists the documents.
+    ``longest`` has the longest window of every q.  The first block of every document is
+    returned whether it is held or not, so that the same pass lists the documents.
     """
-    last = F.greatest(F.lit(0), F.floor((F.size("w") - q) / q)).cast("int")
-    starts = F.sequence(F.lit(0), last)
-    hashes = F.transform(starts, lambda i: F.xxhash64(_run(F.col("w"), i * q, F.lit(q))))
-    spread = tokens.select("*", F.posexplode(hashes).alias("i", "block"))
-    marked = spread.join(F.broadcast(blocks.withColumn("hit", F.lit(True))), "block", "left")
-    wanted = F.col("hit") | ((F.col("i") == 0) if all_rows else F.lit(False))
-    at = F.col("i") * q
+    def lookups(q: int) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size("h") - q) / q)).cast("int")
+        block = lambda i: F.struct(F.lit(q).alias("q"), (i * q).alias("at"), _block_hash("h", i * q, q).alias("block"))
+        return F.transform(F.sequence(F.lit(0), last), block)
+
+    hashed = tokens.withColumn("h", _word_hashes(F.col("w")))
+    spread = hashed.select("row", "doc_id", "text_key", "w", F.explode(F.concat(*map(lookups, longest))).alias("b"))
+    spread = spread.select("row", "doc_id", "text_key", "w", "b.*")
     # A window around the block starts at most longest - q words before it and ends as far behind it.
-    begin = F.greatest(F.lit(0), at - (longest - q))
-    reach = F.slice("w", begin + 1, at - begin + F.lit(max(longest, q)))
-    return marked.where(wanted).select(
-        "row",
-        "doc_id",
-        "text_key",
-        F.size("w").cast("long").alias("n_words"),
-        at.alias("at"),
-        begin.alias("begin"),
-        F.when(F.col("hit"), reach).alias("reach"),
-    )
+    span = F.create_map(*[F.lit(x) for pair in longest.items() for x in pair])[F.col("q")]
+    begin = F.greatest(F.lit(0), F.col("at") - (span - F.col("q")))
+    first = (F.col("q") == min(longest)) & (F.col("at") == 0)
+    around = [begin.alias("begin"), F.slice("w", begin + 1, F.col("at") - begin + F.greatest(span, F.col("q"))).alias("reach")]
+    kept = ["row", "doc_id", "text_key", F.size("w").cast("long").alias("n_words"), "q", "at", first.alias("first")]
+    held = blocks.withColumn("hit", F.lit(True))
+    if blocks.count() <= broadcast:
+        marked = spread.join(F.broadcast(held), ["q", "block"], "left").where(F.col("hit") | first)
+        return marked.select(*kept, "hit", *around).withColumn("reach", F.when(F.col("hit"), F.col("reach")))
+    # Too many blocks for a broadcast: the words around each lookup are moved instead of whole texts.
+    moved = spread.select(*kept, "block", *around).join(held, ["q", "block"], "left").where(F.col("hit") | F.col("first"))
+    return moved.drop("block").withColumn("reach", F.when(F.col("hit"), F.col("reach")))
 
 
 def _verified(near: DataFrame, texts: DataFrame, length: int, q: int, broadcast: int) -> DataFrame:

@@ -114,6 +114,35 @@ def test_pieces_never_change_ids(size):
         assert got == plain.encode_ordinary(text), text
 
 
+@pytest.mark.parametrize("broadcast", [decontaminate.BROADCAST_ROWS, 5])
+def test_hits_do_not_depend_on_file_splits(spark, tmp_path, monkeypatch, broadcast):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 60))) for _ in range(600)]
+    items = [(i, " ".join(texts[i * 7].split()[:n])) for i, n in enumerate([2, 3, 30, 2, 7, 12])]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(9).write.parquet(str(tmp_path / "d"))
+    sizes = iter([str(n) for n in (700, 40_000, 1500, 128_000_000, 2500, 900, 6000) * 20])
+    plain = decontaminate.settle
+
+    def settle(df, label):  # every job reads the documents in other splits
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+        return plain(df, label)
+
+    monkeypatch.setattr(decontaminate, "settle", settle)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        docs = spark.read.parquet(str(tmp_path / "d"))
+        rows = decontaminate.judge(docs, spark.createDataFrame(items, "item_id long, text string"), broadcast=broadcast).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in rows}
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        assert got[i] == brute_hits(text, items)[:3]
+    assert sum(n > 0 for _, n, _ in got.values()) > 100
+
+
 # --- licences -----------------------------------------------------------------
 
 
