@@ -123,7 +123,7 @@ def silhouette_exact(df: DataFrame, key: str, label: str, vector: str) -> DataFr
 
 
 def block_fit(
-    df: DataFrame, key: str, vector: str, size: int, k: int, blocks: int = 16, passes: int = 3, seed: int = 2
+    df: DataFrame, key: str, vector: str, size: int, k: int, blocks: int = 8, passes: int = 2, seed: int = 2
 ) -> list[list[float]]:
     """Centres of the mini-batch solver.
 
