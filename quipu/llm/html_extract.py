@@ -6,8 +6,9 @@ before or behind it, the one that shares the longest start with it; on a host of
 with the nearest page that differs.  Lines that the longest common subsequence of both pages aligns
 are the site's furniture and go; so do lines inside elements that never hold main text
 (menus, footers, forms, adverts, comments, ...).  What the page itself marks as its
-article or main part stays, even where pages share a passage, except lines of a main part
-around an article that the neighbour shares.  Where more text stands outside of the marks
+article or main part stays, even where pages share a passage, except lines that the neighbour
+shares of a main part around an article, or of a block whose name only raises a doubt (``WEAK``:
+the name may be furniture's or an article's own, as in ``share price`` or ``related-work``).  Where more text stands outside of the marks
 that the neighbour does not share, the marks are no main text (a card, a teaser), and the
 alignment alone decides.
 
@@ -65,10 +66,15 @@ INLINE = frozenset(
 NEVER = frozenset("head nav footer aside form button select menu dialog".split())
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments complementary consent "
-    "contentinfo cookie cookies footer gdpr login menu modal nav navbar navigation newsletter notice notices overlay pager "
+    "commentarea commentbox commentlist commentsection commentthread contentinfo cookie cookies disqus footer gdpr login menu modal nav navbar navigation newsletter notice notices overlay pager "
     "pagination popup promo promoted related search share sharing sidebar signup social sponsor sponsored subscribe "
     "toolbar".split()
 )
+#: Hints that an article's own blocks may have in their names; inside of marks they only raise a doubt.
+WEAK = frozenset(
+    "alert banner login modal notice notices overlay pager popup promo promoted related search share sharing signup social "
+    "subscribe toolbar".split()
+)
 #: An article has a header of its own, which holds its title; a page's header is furniture.
 PAGE_HINTS = frozenset("header masthead topbar".split())
 #: Words of a layout: a name with one of them tells what stands beside the text, as in ``main-with-sidebar``.
@@ -77,7 +83,7 @@ MARKS = frozenset(("article", "main"))
 ROOTS = frozenset(("html", "body"))
 CONTROLS = frozenset("label legend optgroup option datalist output".split())
 NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
-SKIPPED, LOOSE, MAIN, ARTICLE = range(4)
+SKIPPED, LOOSE, MAIN, DOUBTFUL, ARTICLE = range(5)
 _SIGN = 1 << 63
 WEIGHT = 15
 
@@ -167,7 +173,7 @@ def _tree(page: str) -> tuple[list[_Element], list[tuple[str, _Element]]]:
 
 
 def text_lines(page: str | None) -> list[tuple[str, int]]:
-    """(line, place) of every block with text, in page order; the place is one of the four constants."""
+    """(line, place) of every block with text, in page order; the place is one of the five constants."""
     elements, lines = _tree(page or "")
     for line, element in lines:
         element.chars += len(line)
@@ -207,18 +213,20 @@ def _place(element: _Element, chars: int, free: bool, marked: int) -> int:
     elif element.unseen:
         skip = True
     elif name == "form":
-        whole = place < ARTICLE and (element.holds & MARKS or element.chars * 2 > chars)
+        whole = place < DOUBTFUL and (element.holds & MARKS or element.chars * 2 > chars)
         skip = element.closed and not whole
-    elif name in NEVER or name == "header" and place < ARTICLE:
+    elif name in NEVER or name == "header" and place < DOUBTFUL:
         skip, keep = True, not element.closed  # an article does not stand in a menu or head that has no end
-    elif element.hinted(HINTS if place == ARTICLE else HINTS | PAGE_HINTS):
-        skip = place == ARTICLE or not _frames(element, chars, free, marked)
+    elif place >= MAIN and element.hinted(WEAK) and not element.hinted(HINTS - WEAK if place > MAIN else (HINTS - WEAK) | PAGE_HINTS):
+        place = DOUBTFUL
+    elif element.hinted(HINTS if place > MAIN else HINTS | PAGE_HINTS):
+        skip = place > MAIN or not _frames(element, chars, free, marked)
     elif name in CONTROLS:
         skip = element.in_form
     element.lost = element.lost or skip and not keep
     if skip:
         return SKIPPED
-    if name in MARKS and not element.lost:
+    if name in MARKS and not element.lost and place != DOUBTFUL:
         return max(place, ARTICLE if name == "article" else MAIN)
     return place
 
@@ -356,15 +364,15 @@ def main_lines(lines: Sequence[str], places: Sequence[int], shared: Sequence[boo
     """The lines of the main text, given which of them the neighbour shares.
 
     Marks count if their lines hold at least as much text as the loose lines that are
-    not shared.  Lines of an article all stay, lines of a main part around an article
-    unless they are shared.  Else all lines outside of furniture that are not shared stay.
+    not shared.  Lines of an article all stay, doubtful lines and those of a main part around an
+    article unless they are shared.  Else all lines outside of furniture that are not shared stay.
     """
     rows = [row for row in zip(lines, places, shared, strict=True) if row[1] != SKIPPED]
     loose = sum(len(line) for line, place, twice in rows if place == LOOSE and not twice)
     marked = sum(len(line) for line, place, _ in rows if place > LOOSE)
     if not marked or marked < loose:
         return [line for line, _, twice in rows if not twice]
-    top = max(place for _, place, _ in rows)
+    top = max((place for _, place, _ in rows if place != DOUBTFUL), default=ARTICLE)
     return [line for line, place, twice in rows if place == top or place > LOOSE and not twice]
 
 

@@ -153,3 +153,34 @@ def test_furniture_does_not_make_pages_almost_equal():
     pages = [html_extract.text_lines(f"{nav}<div>Imprint</div><p>own text {i}</p>") for i in range(2)]
     prints = [html_extract.weighted(html_extract.prints_of([line for line, _ in p]), p) for p in pages]
     assert not html_extract.almost_equal(*prints) and html_extract.almost_equal(prints[0], list(prints[0]))
+
+
+OWN = [
+    '<p class="share price">The share price rose.</p>',
+    '<div class="search results">Twelve boats were found.</div>',
+    '<section id="related-work"><h2>Related work</h2><p>Others measured this before.</p></section>',
+    '<div class="alert">Do not open the valve under pressure.</div>',
+]
+
+
+@pytest.mark.parametrize("block", OWN)
+def test_names_of_an_articles_own_blocks_only_raise_a_doubt(spark, block):
+    page = f"<body><nav>Menu</nav><article><h1>Title</h1><p>First part of it.</p>{block}<p>Last part of it.</p></article></body>"
+    other = "<body><nav>Menu</nav><article><h1>Else</h1><p>Quite another text.</p><div class='share'>Share this page</div></article></body>"
+    shared = page.replace("<h1>Title", "<div class='share'>Share this page</div><h1>Title")
+    rows = [(1, "http://h.org/a/1", page), (2, "http://h.org/a/2", other), (3, "http://g.org/a/1", shared), (4, "http://g.org/a/2", other)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = " ".join(line for line, _ in html_extract.text_lines(block))
+    assert got[1] == got[3] == f"Title First part of it. {text} Last part of it."
+    assert got[4] == "Else Quite another text."  # what the neighbour repeats is furniture
+
+
+@pytest.mark.parametrize("names", ['id="disqus_thread"', 'class="commentlist"', 'class="comments-area"', 'id="comments"'])
+def test_reader_comments_go(names):
+    page = f"<article><h1>T</h1><p>Body.</p><ol {names}><li>First!</li><li class='share'>Me too</li></ol></article>"
+    assert [line for line, place in html_extract.text_lines(page) if place != html_extract.SKIPPED] == ["T", "Body."]
+
+
+def test_a_teaser_article_inside_a_doubtful_block_is_doubtful():
+    page = "<article><p>Body.</p><div class='related'><article><h2>Teaser</h2></article></div></article>"
+    assert html_extract.text_lines(page) == [("Body.", html_extract.ARTICLE), ("Teaser", html_extract.DOUBTFUL)]
