@@ -1,9 +1,10 @@
 """URL filter: host and path rules, and gradient-boosted trees for every URL that no rule fits.
 
 The trees see lexical features only: lengths, depth, digit ratio, entropy, counts of
-parameters, and the smoothed block rate of the host's suffixes.  They learn from URLs
-that the rules label, each distinct URL once; the fit takes at most about
-``fit_rows`` of them, chosen by hash.  Suffix rates count all labelled URLs.
+parameters, and smoothed block rates of the host's suffixes, the path's first segment alone
+and under its top-level domain, and the file suffix.  They learn from URLs that the rules
+label, each distinct URL once; the fit takes at most about ``fit_rows`` of them, chosen by
+hash.  Rates count all labelled URLs; those a URL is learned with leave out its own fold.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits
 no rule and gets the trees' verdict.  Without any labelled URL, or with labels of one
@@ -37,6 +38,8 @@ FIT_ROWS = 8_000
 TREES = 12
 DEPTH = 4
 SMOOTHING = 20.0
+FOLDS = 5
+KINDS = ("tld", "domain", "segment", "branch", "file")
 SUFFIXES = 50_000  # broadcast up to this number of distinct suffixes
 PREFIX = "__url_"
 
@@ -104,8 +107,17 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
-def _suffixes(host: Column) -> dict[str, Column]:
-    return {"tld": F.regexp_extract(host, r"([^.]*)$", 1), "domain": F.regexp_extract(host, r"([^.]*\.?[^.]*)$", 1)}
+def _suffixes(host: Column, path: Column) -> dict[str, Column]:
+    """What block rates are counted by; in the order of ``KINDS``."""
+    tld = F.regexp_extract(host, r"([^.]*)$", 1)
+    segment = F.regexp_extract(path, r"^/+([^/]*)/", 1)  # a last segment is a file
+    return {
+        "tld": tld,
+        "domain": F.regexp_extract(host, r"([^.]*\.?[^.]*)$", 1),
+        "segment": segment,
+        "branch": F.concat(tld, F.lit("/"), segment),
+        "file": F.regexp_extract(path, r"\.([A-Za-z0-9]{1,8})$", 1),
+    }
 
 
 def parsed(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -113,23 +125,24 @@ def parsed(pages: DataFrame, url: str = "url") -> DataFrame:
     text = F.coalesce(column(pages, url), F.lit(""))
     out = pages.withColumn(PREFIX + "text", text)
     out = out.withColumns({PREFIX + "host": host(F.col(PREFIX + "text")), PREFIX + "path": path(F.col(PREFIX + "text"))})
-    out = out.withColumns({PREFIX + k: c for k, c in _suffixes(F.col(PREFIX + "host")).items()})
+    out = out.withColumns({PREFIX + k: c for k, c in _suffixes(F.col(PREFIX + "host"), F.col(PREFIX + "path")).items()})
     return out.withColumn(PREFIX + "match", match(F.col(PREFIX + "host"), F.col(PREFIX + "path")))
 
 
 class UrlModel:
-    """Suffix rates and trees; ``only`` is set where the labels are all of one kind."""
+    """Block rates and trees; ``only`` is set where the labels are all of one kind."""
 
     def __init__(self, rates: dict[str, DataFrame], prior: float, trees: GBTClassificationModel | None, only: str | None):
         self.rates, self.prior, self.trees, self.only = rates, prior, trees, only
 
-    def features(self, rows: DataFrame) -> DataFrame:
-        """Adds the vector ``__url_features``."""
+    def features(self, rows: DataFrame, rates: dict[str, DataFrame] | None = None) -> DataFrame:
+        """Adds the vector ``__url_features``; ``rates`` may be by fold instead of the model's."""
         cols = lexical(*[F.col(PREFIX + k) for k in ("text", "host", "path")])
         out = rows.withColumns({f"{PREFIX}f_{k}": c for k, c in cols.items()})
         names = [f"{PREFIX}f_{k}" for k in cols]
-        for kind, rate in self.rates.items():
-            out = out.join(broadcast_if_small(rate, SUFFIXES), PREFIX + kind, "left")
+        for kind, rate in (rates or self.rates).items():
+            keys = [c for c in rate.columns if c != f"{PREFIX}r_{kind}"]
+            out = out.join(broadcast_if_small(rate, SUFFIXES), keys, "left")
             out = out.withColumn(f"{PREFIX}r_{kind}", F.coalesce(f"{PREFIX}r_{kind}", F.lit(self.prior)))
             names.append(f"{PREFIX}r_{kind}")
         return VectorAssembler(inputCols=names, outputCol=PREFIX + "features").transform(out)
@@ -146,23 +159,29 @@ class UrlModel:
 
 def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, trees: int = TREES, depth: int = DEPTH) -> UrlModel:
     """Learn from the rows of ``parsed`` that a rule labels, each distinct URL once."""
-    parts = [PREFIX + k for k in ("text", "host", "path", "tld", "domain")]
+    parts = [PREFIX + k for k in ("text", "host", "path", *KINDS)]
     labelled = rows.where(F.col(PREFIX + "match").isNotNull())
     label = (F.col(PREFIX + "match.verdict") == "block").cast("double").alias(PREFIX + "label")
-    urls = settle(labelled.select(*parts, label).distinct(), "op2-labelled")
+    fold = F.pmod(F.xxhash64(PREFIX + "text", F.lit("fold")), F.lit(FOLDS)).alias(PREFIX + "fold")
+    urls = settle(labelled.select(*parts, label).distinct().withColumn(PREFIX + "fold", fold), "op2-labelled")
     total, blocked = urls.agg(F.count(F.lit(1)), F.sum(PREFIX + "label")).first()
     if not blocked or blocked == total:
         return UrlModel({}, 0.0, None, "block" if blocked else "allow")
     prior = blocked / total
-    rates = {}
-    for kind in ("tld", "domain"):
-        summed = urls.groupBy(PREFIX + kind).agg(F.count(F.lit(1)).alias("n"), F.sum(PREFIX + "label").alias("b"))
-        rate = (F.col("b") + SMOOTHING * prior) / (F.col("n") + SMOOTHING)
-        rates[kind] = settle(summed.select(PREFIX + kind, rate.alias(f"{PREFIX}r_{kind}")), "op2-rates")
+    rates, by_fold = {}, {}
+    for kind in KINDS:
+        name, key = f"{PREFIX}r_{kind}", PREFIX + kind
+        counts = urls.groupBy(key, PREFIX + "fold").agg(F.count(F.lit(1)).alias("n"), F.sum(PREFIX + "label").alias("b"))
+        counts = settle(counts, "op2-counts")
+        totals = counts.groupBy(key).agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
+        rate = (F.col("all_b") + SMOOTHING * prior) / (F.col("all_n") + SMOOTHING)
+        rates[kind] = settle(totals.select(key, rate.alias(name)), "op2-rates")
+        others = (F.col("all_b") - F.col("b") + SMOOTHING * prior) / (F.col("all_n") - F.col("n") + SMOOTHING)
+        by_fold[kind] = settle(counts.join(totals, key).select(key, PREFIX + "fold", others.alias(name)), "op2-fold-rates")
     model = UrlModel(rates, prior, None, None)
     share = min(1.0, fit_rows / total)
     chosen = urls.where(F.pmod(F.xxhash64(PREFIX + "text", F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    sample = settle(model.features(chosen).select(PREFIX + "features", PREFIX + "label").coalesce(2), "op2-sample")
+    sample = settle(model.features(chosen, by_fold).select(PREFIX + "features", PREFIX + "label").coalesce(2), "op2-sample")
     learner = GBTClassifier(
         featuresCol=PREFIX + "features", labelCol=PREFIX + "label", maxIter=trees, maxDepth=depth, seed=7, stepSize=0.3
     )

@@ -363,6 +363,45 @@ def test_url_trees_on_held_out_urls(spark):
     assert right >= 0.95 * judged.count()
 
 
+def test_url_trees_learn_from_the_start_of_the_path(spark):
+    """Nothing but the first segment tells the labels apart; other hosts with it are judged alike."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(900):
+        top, start = rng.choice([("com", "fr"), ("com", "de"), ("org", "en"), ("net", "fr"), ("net", "de")])
+        rows.append((i, f"http{rng.choice(['', 's'])}://{rng.choice(['m.', '', 'blog.'])}s{rng.randrange(40)}.{top}/{start}/{rng.randrange(999)}{rng.choice(['', '/', '.html', '?page=2'])}"))
+    pages = url_filter.parsed(spark.createDataFrame(rows, "page_id long, url string"))
+    judged = url_filter.fit(pages.where("page_id % 2 = 0")).judge(pages.where("page_id % 2 = 1")).withColumn("block", F.col(url_filter.PREFIX + "score") >= 0.5)
+    for rule, block in (("com/fr/", False), ("com/de/", True), ("org/", False)):
+        own = judged.where(F.col(url_filter.PREFIX + "match.rule") == rule)
+        assert own.where(F.col("block") == block).count() >= 0.95 * own.count() > 20
+    others = judged.where(F.col(url_filter.PREFIX + "match").isNull())
+    assert others.where(F.col("block") == F.col("url").contains("/de/")).count() >= 0.9 * others.count()
+
+
+def test_url_rates_for_learning_leave_out_the_own_fold(spark):
+    """Every host once: its own label must not be told by its own rate."""
+    rows = [(i, f"http://a{i}.com/{'fr' if i % 2 else 'de'}/x") for i in range(400)]
+    pages = url_filter.parsed(spark.createDataFrame(rows, "page_id long, url string"))
+    model = url_filter.fit(pages)
+    names = [f.name for f in model.features(pages.limit(1)).schema if f.name.startswith((url_filter.PREFIX + "f_", url_filter.PREFIX + "r_"))]
+    weights = dict(zip(names, model.trees.featureImportances.toArray()))
+    assert weights[url_filter.PREFIX + "r_domain"] < 0.05
+    assert weights[url_filter.PREFIX + "r_segment"] + weights[url_filter.PREFIX + "r_branch"] > 0.8
+
+
+def test_url_filter_on_held_out_pages(spark):
+    pages = url_filter.parsed(spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url"))
+    half = F.pmod(F.xxhash64(url_filter.PREFIX + "text"), F.lit(2))
+    judged = url_filter.fit(pages.where(half == 0)).judge(pages.where(half == 1).where(F.col(url_filter.PREFIX + "match").isNotNull()))
+    right = (F.col(url_filter.PREFIX + "score") >= 0.5) == (F.col(url_filter.PREFIX + "match.verdict") == "block")
+    found = {r.rule: (r.n, r.share) for r in judged.groupBy(F.col(url_filter.PREFIX + "match.rule").alias("rule")).agg(F.count("*").alias("n"), F.avg(right.cast("int")).alias("share")).collect()}
+    print(found)
+    assert found["com/fr/"][1] > 0.9 and found["com/de/"][1] > 0.9
+    total = sum(n for n, _ in found.values())
+    assert sum(n * s for n, s in found.values()) / total > 0.93
+
+
 def test_furniture_inside_and_outside_of_an_article():
     page = """<body><div id=site-header>S</div><div role="search">Q</div><article class='post'><div class="entry-header"><h1>T</h1></div>
       <p>one <a href='x>y'>two</a>, <i>three</i><div class="ad-box">A</div><ul><li>four<li>five</ul><aside>B</aside>
