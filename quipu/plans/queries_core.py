@@ -12,7 +12,7 @@ from quipu.operators.indexing import dense_index
 from quipu.plans import fixtures as fx
 from quipu.plans.registry import query
 from quipu.session import scratch_path
-from quipu.sources import sinks
+from quipu.sources import committed, sinks
 from quipu.sources.tables import read_delimited, read_json, read_table
 
 
@@ -74,6 +74,24 @@ def _(spark, d):
     return sinks.read_current(spark, path)
 
 
+@query("workbook_roundtrip", f"WITH {fx.SQL_POSTS} SELECT conv_id, turn, message FROM posts")
+def _(spark, d):
+    path = scratch_path(spark, "workbooks")
+    posts = fx.posts(spark, d).select("conv_id", "turn", "message")
+    committed.refresh(posts, path, "xlsx")
+    return committed.read_refreshed(spark, path, posts.schema)
+
+
+@query("committed_refresh", f"WITH {fx.SQL_PAIRS} SELECT item_id, count(*) AS n_users FROM pairs GROUP BY 1")
+def _(spark, d):
+    path = scratch_path(spark, "refreshed")
+    support = profile.item_support(fx.pairs(spark, d))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in support.schema.fields)
+    committed.refresh(support.withColumn("n_users", F.lit(0).cast("bigint")), path, columns=columns)
+    committed.refresh(support, path, columns=columns)
+    return committed.read_refreshed(spark, path, support.schema)
+
+
 # --- projections, filters, predicates ---------------------------------------
 
 
