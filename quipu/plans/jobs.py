@@ -12,6 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quipu.functions import morphology
 from quipu.functions.scores import band
 from quipu.operators import cluster, factorize, recommend, topics
 from quipu.operators.prep import prepare_interactions, standardize
@@ -91,10 +92,12 @@ def topics_job(
     model: PipelineModel | None = None,
     lemmas: DataFrame | None = None,
     publish_to: str | None = None,
+    rules: Sequence[morphology.Rule] | None = morphology.SPANISH_PLURALS,
 ) -> tuple[DataFrame, PipelineModel]:
     """Topic of every post: the given columns, the cleaned text and the topic number.
 
-    ``lemmas`` is (form, lemma); tokens it knows are replaced by their base form.
+    ``lemmas`` is (form, lemma); tokens it knows are replaced by their base form.  Without
+    it base forms come from suffix ``rules``; None leaves the tokens as they are.
     Posts are cut into tokens once and every later step reads the written tokens.
     """
     tokens = topics.forum_tokens(on_all_tasks(posts), message, stop_words).select(*columns, "tokens")
@@ -102,6 +105,8 @@ def topics_job(
         numbered = settle(tokens.withColumn("__post", F.monotonically_increasing_id()), "numbered")
         base = tokens_with_lemmas(numbered, "__post", F.col("tokens"), lemmas)
         tokens = numbered.drop("tokens").join(base, "__post").drop("__post")
+    elif rules is not None:
+        tokens = tokens.withColumn("tokens", morphology.lemmas(F.col("tokens"), rules))
     tokens = settle(tokens, "tokens")
     if model is None:
         model = topics.fit_topics(tokens)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quipu.functions import text
+from quipu.functions import morphology, text
 from quipu.functions.apply import apply_text, strip_accents
 from quipu.operators import textmine, topics
 from quipu.plans import fixtures as fx
@@ -157,6 +157,25 @@ def _(spark, d):
     return textmine.replace_lemmas(counts, _lemmas(spark, d), "post")
 
 
+_SQL_RULES = " ".join(
+    [f"WHEN w = '{form}' THEN '{base}'" for form, base in morphology.SPANISH_EXCEPTIONS.items()]
+    + [
+        f"WHEN w LIKE '%{suffix}' AND length(w) >= {stem + len(suffix)} THEN left(w, length(w) - {len(suffix)}) || '{base}'"
+        for suffix, base, stem in morphology.by_length(morphology.SPANISH_PLURALS)
+    ]
+)
+
+
+@query(
+    "lemma_rules",
+    f"""WITH {SQL_POST_TOKENS} SELECT conv_id, turn,
+          array_to_string(list_transform(tokens, lambda w: CASE {_SQL_RULES} ELSE w END), ' ') AS lemmas FROM tokens""",
+)
+def _(spark, d):
+    tokens = topics.forum_tokens(fx.posts(spark, d), "message", forum_stop_words())
+    return tokens.select("conv_id", "turn", F.array_join(morphology.lemmas(F.col("tokens")), " ").alias("lemmas"))
+
+
 @query(
     "bag_of_words",
     f"""WITH {SQL_POST_TOKENS}, w AS (SELECT post, unnest(tokens) AS term FROM tokens),
