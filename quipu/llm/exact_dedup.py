@@ -79,15 +79,17 @@ def mark(
     # Written first: then both sides of the join are plain shuffles, whose hot keys Spark can split.
     copies = settle(copies.select(F.col("digest").alias("of"), "n", "top"), "op4-copies")
     found = F.col("n").isNotNull()
-    return second.join(copies, F.col("digest") == F.col("of"), "left").select(
-        "row",
-        "doc_id",
-        F.when(found, F.col("top.doc_id")).otherwise(F.col("doc_id")).alias("keep_id"),
-        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        (~found | (F.col("row") == F.col("top.row"))).alias("kept"),
-        "digest",
-        "text_key",
+    shape = ["row", "doc_id", "keep_id", "group_size", "kept", "digest", "text_key"]
+    joined = second.where("open").join(copies, F.col("digest") == F.col("of"), "left").withColumns(
+        {
+            "keep_id": F.when(found, F.col("top.doc_id")).otherwise(F.col("doc_id")),
+            "group_size": F.coalesce("n", F.lit(1)).cast("long"),
+            "kept": ~found | (F.col("row") == F.col("top.row")),
+        }
     )
+    # Rows outside of surviving groups are alone, and may have no digest to be joined by.
+    alone = second.where("NOT open").withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
+    return joined.select(*shape).unionByName(alone.select(*shape))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,12 +3,14 @@
 Every shard owns ``vnodes`` points of a ring; a key belongs to the next point
 clockwise.  A shard takes rows only up to its capacity; rows beyond it go on to the
 next other shards clockwise until one has room.  All arcs ask their own shard first,
-then the second, and so on; within an arc, keys ask in ring order.
+then the second, and so on; within an arc, keys ask by cell, a hash class of their places.
 
 Only the counts of the arcs (``shards x vnodes`` numbers, whatever the table's size)
 are planned on the driver.  Rows get their place in the arc from counts of small
 cells of the ring plus a row number inside a cell.  A cell is cut into lanes, over
-which the rows of one hot key are spread, so no task holds a key's rows together.
+which the rows of one hot key are spread, so no task holds a key's rows together.  Lanes come
+from row numbers: where an arc's rows go to several shards, which of a cell's rows go where
+depends on how the table is split when read; counts and bounds do not.
 
 Defined cases: a null key is a key like any other; repeated rows are placed one by
 one; a null text has size 1 (no bytes, plus 1) and checksum 0; an empty table gives
