@@ -60,11 +60,16 @@ def _vectors(df: DataFrame, key: str, tag: str | None, kind: str) -> DataFrame:
     )
 
 
-def _grid(left: DataFrame, right: DataFrame, rows: int) -> tuple[int, int, int]:
+def _sizes(left: DataFrame, right: DataFrame) -> tuple:
+    """Rows and cells of both sides."""
+    size = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("val").cast("bigint")), F.lit(0)).alias("cells")]
+    return left.agg(*size).first(), right.agg(*size).first()
+
+
+def _grid(left: DataFrame, right: DataFrame, rows: int, sizes: tuple | None = None) -> tuple[int, int, int]:
     """Blocks on the left, blocks on the right, shuffle partitions."""
     spark = left.sparkSession
-    size = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("val").cast("bigint")), F.lit(0)).alias("cells")]
-    (n_left, cells_left), (n_right, cells_right) = left.agg(*size).first(), right.agg(*size).first()
+    (n_left, cells_left), (n_right, cells_right) = sizes or _sizes(left, right)
     blocks_right = max(1, -(-n_right // rows), -(-cells_right // BLOCK_CELLS))
     wanted = -(-2 * task_count(spark) // blocks_right)
     blocks_left = max(1, -(-n_left // rows), -(-cells_left // BLOCK_CELLS))
@@ -74,7 +79,13 @@ def _grid(left: DataFrame, right: DataFrame, rows: int) -> tuple[int, int, int]:
 
 
 def _cogroup(
-    left: DataFrame, right: DataFrame, pairs: DataFrame | None, kernel: Callable, schema: str, block_rows: int
+    left: DataFrame,
+    right: DataFrame,
+    pairs: DataFrame | None,
+    kernel: Callable,
+    schema: str,
+    block_rows: int,
+    sizes: tuple | None = None,
 ) -> DataFrame:
     """Run ``kernel`` once per pair of blocks.
 
@@ -82,7 +93,7 @@ def _cogroup(
     function giving the dense rows of a side, and the positions of the
     requested pairs, sorted by left row.
     """
-    n_left, n_right, tasks = _grid(left, right, block_rows)
+    n_left, n_right, tasks = _grid(left, right, block_rows, sizes)
     rows = left.withColumns({"lb": _block("id", n_left), "rb": F.explode(F.sequence(F.lit(0), F.lit(n_right - 1)))})
     columns = right.withColumns({"rb": _block("id", n_right), "lb": F.explode(F.sequence(F.lit(0), F.lit(n_left - 1)))})
     asked = None
@@ -253,15 +264,16 @@ def block_topk(
     pairs = None
     if exclude is not None:
         pairs = exclude.select(F.col(left_key).cast(kind).alias("id"), F.col(right_key).cast(kind).alias("other"))
+    sizes = _sizes(left_v, right_v) if prune is None else None
     if prune is None:
-        prune = left_v.count() * right_v.count() >= PRUNE_PRODUCTS
+        prune = sizes[0]["n"] * sizes[1]["n"] >= PRUNE_PRODUCTS
     if prune:
         from quipu.operators.pruning import pruned_scores  # built on this module
 
         scored = pruned_scores(left_v, right_v, pairs, k, measure, kind, extremes, count)
     else:
         kernel, schema = topk_kernel(k, measure, kind, extremes)
-        scored = _cogroup(left_v, right_v, pairs, kernel, schema, block_rows)
+        scored = _cogroup(left_v, right_v, pairs, kernel, schema, block_rows, sizes)
     best = Window.partitionBy("id").orderBy(F.desc(F.round("score", DIGITS)), "other")
     if extremes:
         scored = settle(scored, "scored")
