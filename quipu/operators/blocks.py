@@ -114,7 +114,8 @@ def _placed_cogroup(
     columns = columns.select(*grid, *[F.col(c).alias(f"r_{c}") for c in shape])  # both sides may be the same frame
 
     def read(table: pa.Table) -> dict:
-        table = table.sort_by([("id", "ascending"), ("tag", "ascending")]).combine_chunks()
+        tagged = table["tag"].null_count < len(table)
+        table = table.sort_by([("id", "ascending"), ("tag", "ascending")] if tagged else "id").combine_chunks()
         vals, idx = table["val"].combine_chunks(), table["idx"].combine_chunks()
         lens = vals.value_lengths().fill_null(0).to_numpy().astype(np.int64)
         flat = vals.flatten().to_numpy(zero_copy_only=False)
