@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quipu.functions.scores import squared_distance
 from quipu.operators.blocks import block_distance_sums, block_worst_ratio
-from quipu.operators.joins import broadcast_if_small
+from quipu.operators.joins import BROADCAST_CHARS, broadcast_if_small
 from quipu.operators.multikmeans import STARTS, candidates, fit_many, points_of, start, sums_by_centre
 from quipu.session import settle, spill_cache
 
@@ -87,7 +87,7 @@ def davies_bouldin(df: DataFrame, label: str, vector: str, size: int) -> DataFra
     points = df.select(label, F.transform(F.col(vector), lambda x: x.cast("double")).alias("val"))
     centers = settle(cluster_centers(points, label, "val", size), "centers")
     spread = (
-        points.join(broadcast_if_small(centers), label)
+        points.join(broadcast_if_small(centers, chars=BROADCAST_CHARS), label)
         .groupBy(label)
         .agg(F.avg(F.sqrt(squared_distance(F.col("val"), F.col("center")))).alias("s"), F.first("center").alias("c"))
     )
@@ -109,7 +109,7 @@ def silhouette_exact(df: DataFrame, key: str, label: str, vector: str) -> DataFr
     """
     points = settle(df.select(key, F.col(label).cast("bigint").alias("grp"), F.col(vector).alias("val")), "points")
     sums = block_distance_sums(points, key, "grp")
-    sizes = points.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = settle(points.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "sizes")
     own = points.select(key, F.col("grp").alias("own"))
     rows = sums.join(broadcast_if_small(sizes), "grp").join(own, key)
     mine = F.col("grp") == F.col("own")

@@ -15,11 +15,21 @@ from pyspark.sql import functions as F
 
 
 BROADCAST_ROWS = 100_000
+BROADCAST_CHARS = 64_000_000
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a frame of narrow rows for broadcast, but only after counting that it is small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, chars: int | None = None) -> DataFrame:
+    """Mark a frame for broadcast, but only after counting that it is small.
+
+    Rows of unbounded width, such as vectors, are also measured, written out as JSON of at most
+    ``chars``.  The frame is read for it, so hand over a written table where it is costly to make.
+    """
+    few = df.limit(rows + 1)
+    if chars is None:
+        return F.broadcast(df) if few.count() <= rows else df
+    written = F.length(F.to_json(F.struct("*")))
+    n, size = few.agg(F.count(F.lit(1)), F.coalesce(F.sum(written), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= chars else df
 
 
 def catalog_left_join(catalog: DataFrame, facts: DataFrame, on: str) -> DataFrame:

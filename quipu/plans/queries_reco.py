@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quipu.functions import text
-from quipu.operators import cluster, evaluate, factorize, joins, prep, recommend, similarity, textmine
+from quipu.operators import cluster, evaluate, factorize, joins, prep, recommend, silhouette, similarity, textmine
 from quipu.plans import fixtures as fx
 from quipu.plans import jobs
 from quipu.plans.registry import query
@@ -518,3 +518,12 @@ def _(spark, d):
 def _(spark, d):
     vectors = read_table(spark, d, "embeddings", ["vec_id", "embedding", "label"])
     return cluster.silhouette_exact(vectors, "vec_id", "label", "embedding").select(r6("silhouette").alias("silhouette"))
+
+
+@query("silhouette_interval")
+def _(spark, d):
+    scaled, cols = _standard_features(spark, d)
+    points = scaled.select("day", "user_id", F.array(*[F.col(c) for c in cols]).alias("val"))
+    _, centers = cluster.best_centers(scaled, cols, [4])[4]
+    labelled = points.withColumn("cluster", cluster.nearest_center(F.col("val"), centers))
+    return silhouette.silhouette_interval(labelled, "user_id", "cluster", "val", width=0.05)
