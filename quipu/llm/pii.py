@@ -39,7 +39,7 @@ from quipu.llm.common import column
 
 KINDS = ("email", "ip", "card", "phone")
 FIT_REGIONS = 600
-EPOCHS = 30
+EPOCHS = 12
 MAX_ATOMS = 24
 MAX_CHARS = 80
 REGION_CHARS = 400
@@ -472,7 +472,7 @@ def measure(model: Field | None, stretches: Sequence[str], count: int = 3) -> di
     return {kind: tuple(n) for kind, n in out.items()}
 
 
-def learn(stretches: Sequence[str], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-3) -> Field | None:
+def learn(stretches: Sequence[str], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4) -> Field | None:
     """Gradient ascent, one stretch at a time, with steps that shrink where gradients were large."""
     examples = []
     for stretch in stretches:
