@@ -116,6 +116,23 @@ def _(spark, d):
     )
 
 
+@query(
+    "reco_batch_counts",
+    f"""WITH {fx.SQL_RATINGS}, rated AS (SELECT DISTINCT item_id FROM ratings),
+        done AS (SELECT user_id, count(*) AS n FROM completions WHERE item_id IN (SELECT item_id FROM rated) GROUP BY 1),
+        users AS (SELECT DISTINCT user_id FROM ratings),
+        known AS (SELECT user_id::VARCHAR AS user_id, least(3, (SELECT count(*) FROM rated) - coalesce(n, 0))::BIGINT AS n_items
+                  FROM users LEFT JOIN done USING (user_id))
+        SELECT user_id, n_items, '{fx.RUN_DATE}' AS run_date FROM known WHERE n_items > 0
+        UNION ALL SELECT '00000001', least(5, (SELECT count(*) FROM rated))::BIGINT, '{fx.RUN_DATE}'""",
+)
+def _(spark, d):
+    out = jobs.recommend_job(
+        fx.actions(spark, d), fx.catalog(spark, d), fx.completions(spark, d), fx.ACTION_ORDER, F.lit(fx.RUN_DATE).cast("date")
+    )
+    return out.groupBy("user_id", "run_date").agg(F.count_distinct("item_id").alias("n_items"))
+
+
 # --- content -----------------------------------------------------------------
 
 SQL_ITEM_VECTORS = f"""t AS (SELECT item_id, unnest(regexp_extract_all(lower(concat_ws(' ', name, kind, brand)), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM catalog),
@@ -376,6 +393,17 @@ def _(spark, d):
     return evaluate.compare(models, settle(ratings, "ratings"), fx.catalog(spark, d), N_NEGATIVES)
 
 
+@query(
+    "model_comparison_popularity",
+    f"""WITH {SQL_HITS} SELECT 'popularity' AS model, count(*) AS n_test, round(sum(hit_5) / count(*), 6) AS recall_5,
+          round(sum(hit_10) / count(*), 6) AS recall_10 FROM hits""",
+)
+def _(spark, d):
+    ratings = settle(fx.ratings(spark, d).select("user_id", "item_id", "score"), "ratings")
+    out = evaluate.compare([recommend.PopularityModel()], ratings, fx.catalog(spark, d), N_NEGATIVES)
+    return out.withColumns({"recall_5": r6("recall_5"), "recall_10": r6("recall_10")})
+
+
 @query(
     "rmse_known",
     f"""WITH {fx.SQL_RATINGS}, m AS (SELECT user_id, avg(score) AS m FROM ratings GROUP BY 1)
@@ -452,6 +480,15 @@ def _(spark, d):
     return cluster.elbow_curve(scaled, cols)
 
 
+@query(
+    "elbow_first",
+    f"""WITH {SQL_FEATURES} SELECT 1::INT AS k, round(sum(list_sum(list_transform(v, lambda x: x * x))), 3) AS cost FROM z""",
+)
+def _(spark, d):
+    scaled, cols = _standard_features(spark, d)
+    return cluster.elbow_curve(scaled, cols, ks=[1], starts=1).withColumn("cost", F.round("cost", 3))
+
+
 @query("cluster_comparison")
 def _(spark, d):
     scaled, cols = _standard_features(spark, d)

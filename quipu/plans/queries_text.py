@@ -293,6 +293,19 @@ def _(spark, d):
     return topics.assign_topics(topics.load_model(path), tokens).select("conv_id", "turn", "topic")
 
 
+@query("model_roundtrip_same", f"WITH {fx.SQL_POSTS} SELECT count(*) AS n_posts, 0::BIGINT AS n_changed FROM posts")
+def _(spark, d):
+    tokens = _topic_tokens(spark, d)
+    path = scratch_path(spark, "model")
+    model = topics.fit_topics(tokens)
+    topics.save_model(model, path)
+    keys = ["conv_id", "turn", "topic", "distribution"]
+    before = topics.assign_topics(model, tokens).select(*keys, F.lit(1).alias("sign"))
+    after = topics.assign_topics(topics.load_model(path), tokens).select(*keys, F.lit(-1).alias("sign"))
+    sums = before.unionByName(after).groupBy(*keys).agg(F.sum("sign").alias("change"), F.count_if(F.col("sign") > 0).alias("n"))
+    return sums.agg(F.sum("n").alias("n_posts"), F.count_if(F.col("change") != 0).alias("n_changed"))
+
+
 @query("topics_batch")
 def _(spark, d):
     posts = fx.posts(spark, d)
