@@ -7,7 +7,8 @@ sum per group).  No pair of ids becomes a row unless it is part of the answer,
 and neither side is broadcast or held whole anywhere.
 
 Blocks are large, because every row is sent once per block of the other side.
-Only when there would be fewer blocks than tasks is the left side cut finer.
+Only when there would be fewer blocks than tasks is the left side cut finer, or, for sums
+of distances, both sides.
 
 A vector is ``val`` alone (dense), or ``idx`` with ``val`` (sparse).  Blocks hold a
 bounded number of rows and, by the mean length of the vectors, of cells.  Keys may
@@ -16,13 +17,14 @@ be whole numbers or text; other types are compared as text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+from pyspark.sql.types import ArrayType, ByteType, FloatType, IntegerType, LongType, ShortType
 
 from quipu.session import settle, task_count
 
@@ -32,6 +34,7 @@ BLOCK_CELLS = 40_000_000  # values of one block, about 0.5 GB with their positio
 SLICE_CELLS = 8_000_000  # cells of one dense set of vectors inside a task
 SCORE_CELLS = 500_000  # cells of one slice of scores, small enough for the processor cache
 PRUNE_PRODUCTS = 10**11  # pairs from which cells of similar vectors pay for themselves
+RUN = 128  # neighbouring scores of a row that are first judged by their greatest
 DIGITS = 9  # scores are ranked at this many decimals, so equal vectors tie exactly
 
 
@@ -49,13 +52,15 @@ def _as_given(column: str, df: DataFrame, key: str) -> Column:
     return F.col(column).cast(df.schema[key].dataType).alias(key)
 
 
-def _vectors(df: DataFrame, key: str, tag: str | None, kind: str) -> DataFrame:
+def _vectors(df: DataFrame, key: str, tag: str | None, kind: str, single: bool = False) -> DataFrame:
+    """Vectors in one shape; with ``single``, values of single precision are sent as they are and widened in the task."""
+    kept = single and df.schema["val"].dataType == ArrayType(FloatType())
     idx = F.col("idx").cast("array<int>") if "idx" in df.columns else F.lit(None).cast("array<int>")
     return df.select(
         F.col(key).cast(kind).alias("id"),
         (F.col(tag).cast("bigint") if tag else F.lit(None).cast("bigint")).alias("tag"),
         idx.alias("idx"),
-        F.col("val").cast("array<double>").alias("val"),
+        F.col("val").cast("array<float>" if kept else "array<double>").alias("val"),
         (F.col("extra") if "extra" in df.columns else F.lit(None)).cast("array<double>").alias("extra"),
     )
 
@@ -66,14 +71,25 @@ def _sizes(left: DataFrame, right: DataFrame) -> tuple:
     return left.agg(*size).first(), right.agg(*size).first()
 
 
-def _grid(left: DataFrame, right: DataFrame, rows: int, sizes: tuple | None = None) -> tuple[int, int, int]:
-    """Blocks on the left, blocks on the right, shuffle partitions."""
+def _grid(
+    left: DataFrame, right: DataFrame, rows: int, sizes: tuple | None = None, even: bool = False
+) -> tuple[int, int, int]:
+    """Blocks on the left, blocks on the right, shuffle partitions.
+
+    With ``even`` both sides are cut for the tasks.  Every cut sends the other side once
+    more, so this moves the least rows, but more comes out where it is one per right block.
+    """
     spark = left.sparkSession
     (n_left, cells_left), (n_right, cells_right) = sizes or _sizes(left, right)
     blocks_right = max(1, -(-n_right // rows), -(-cells_right // BLOCK_CELLS))
-    wanted = -(-2 * task_count(spark) // blocks_right)
     blocks_left = max(1, -(-n_left // rows), -(-cells_left // BLOCK_CELLS))
-    blocks_left = max(blocks_left, min(wanted, -(-n_left // FINEST_ROWS)) if rows == BLOCK_ROWS else 1)
+    wanted = 2 * task_count(spark) if rows == BLOCK_ROWS else 1
+    if even:
+        side = math.isqrt(wanted - 1) + 1
+        blocks_left = max(blocks_left, min(side, -(-n_left // FINEST_ROWS)))
+        blocks_right = max(blocks_right, min(side, -(-n_right // FINEST_ROWS)))
+    else:
+        blocks_left = max(blocks_left, min(-(-wanted // blocks_right), -(-n_left // FINEST_ROWS)))
     pairs = blocks_left * blocks_right
     return blocks_left, blocks_right, pairs if pairs <= 20_000 else 20_000
 
@@ -86,6 +102,7 @@ def _cogroup(
     schema: str,
     block_rows: int,
     sizes: tuple | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Run ``kernel`` once per pair of blocks.
 
@@ -93,7 +110,7 @@ def _cogroup(
     function giving the dense rows of a side, and the positions of the
     requested pairs, sorted by left row.
     """
-    n_left, n_right, tasks = _grid(left, right, block_rows, sizes)
+    n_left, n_right, tasks = _grid(left, right, block_rows, sizes, even)
     rows = left.withColumns({"lb": _block("id", n_left), "rb": F.explode(F.sequence(F.lit(0), F.lit(n_right - 1)))})
     columns = right.withColumns({"rb": _block("id", n_right), "lb": F.explode(F.sequence(F.lit(0), F.lit(n_left - 1)))})
     asked = None
@@ -118,7 +135,7 @@ def _placed_cogroup(
         table = table.sort_by([("id", "ascending"), ("tag", "ascending")] if tagged else "id").combine_chunks()
         vals, idx = table["val"].combine_chunks(), table["idx"].combine_chunks()
         lens = vals.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-        flat = vals.flatten().to_numpy(zero_copy_only=False)
+        flat = vals.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
         owner = np.repeat(np.arange(len(lens)), lens)
         if idx.null_count == len(idx):
             cols = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
@@ -192,6 +209,41 @@ def _placed_cogroup(
     return lg.cogroup(rg).applyInArrow(run, schema)
 
 
+def _leading(s: np.ndarray, take: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``take`` greatest entries of every row; of equal ones the first."""
+    cut = np.partition(s, s.shape[1] - take, axis=1)[:, s.shape[1] - take][:, None]
+    above, level = s > cut, s == cut
+    spare = take - above.sum(axis=1, keepdims=True)
+    return np.nonzero(above | (level & (np.cumsum(level, axis=1) <= spare)))
+
+
+def best_columns(scores: np.ndarray, take: int, digits: int = DIGITS) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``take`` best scores of every row, rounded; ties go to the first column.
+
+    Runs of ``RUN`` columns are judged by their greatest score.  Scores above the ``take``-th
+    greatest of these lie in runs above it, and of the runs level with it the first hold enough,
+    so only ``take`` runs of a row are rounded and compared entry by entry.
+    """
+    n, m = scores.shape
+    runs = -(-m // RUN)
+    if runs <= 2 * take:
+        return _leading(np.round(scores, digits), take)
+    full = m // RUN
+    top = np.empty((n, runs))
+    scores[:, : full * RUN].reshape(n, full, RUN).max(axis=2, out=top[:, :full])
+    if runs > full:
+        scores[:, full * RUN :].max(axis=1, out=top[:, full])
+    if np.isnan(top).any():
+        return _leading(np.round(scores, digits), take)
+    r, c = _leading(np.round(top, digits), take)
+    at = (c[:, None] * RUN + np.arange(RUN)).reshape(n, take * RUN)
+    near = np.round(scores[np.arange(n)[:, None], np.minimum(at, m - 1)], digits)
+    near[at >= m] = -np.inf
+    r, c = _leading(near, take)
+    at = at[r, c]
+    return r[at < m], at[at < m]
+
+
 def topk_kernel(k: int, measure: str, kind: str, extremes: bool) -> tuple[Callable, str]:
     """The best ``k`` right rows of a block for every left row of a block, and the schema of the result."""
     id_type = pa.int64() if kind == "bigint" else pa.string()
@@ -205,15 +257,12 @@ def topk_kernel(k: int, measure: str, kind: str, extremes: bool) -> tuple[Callab
             if measure == "jaccard":
                 union = a["lens"][first:last, None] + b["lens"][None, :] - raw
                 raw = np.divide(raw, union, out=np.zeros_like(raw), where=union > 0)
-            low, high = min(low, float(raw.min())), max(high, float(raw.max()))
-            s = np.round(raw, digits)
+            if extremes:
+                low, high = min(low, float(raw.min())), max(high, float(raw.max()))
             x, y = np.searchsorted(asked[0], [first, last])
-            s[asked[0][x:y] - first, asked[1][x:y]] = -np.inf
-            cut = np.partition(s, s.shape[1] - take, axis=1)[:, s.shape[1] - take][:, None]
-            above, level = s > cut, s == cut
-            spare = take - above.sum(axis=1, keepdims=True)
-            chosen = above | (level & (np.cumsum(level, axis=1) <= spare))
-            r, c = np.nonzero(chosen & (s > -np.inf))
+            raw[asked[0][x:y] - first, asked[1][x:y]] = -np.inf
+            r, c = best_columns(raw, take, digits)
+            r, c = r[raw[r, c] > -np.inf], c[raw[r, c] > -np.inf]
             ids.append(a["ids"][first:last][r])
             others.append(b["ids"][c])
             scores.append(raw[r, c])
@@ -328,7 +377,7 @@ def block_distance_sums(points: DataFrame, key: str, group: str, block_rows: int
     """Sum of Euclidean distances from every point to the points of each group: (key, group, total)."""
     kind = _key_type((points, key))
     id_type = pa.int64() if kind == "bigint" else pa.string()
-    vectors = settle(_vectors(points, key, group, kind), "points")
+    vectors = settle(_vectors(points, key, group, kind, single=True), "points")
 
     def kernel(a, b, dense, products, slices, asked, width):
         groups, at = np.unique(b["tags"], return_inverse=True)
@@ -350,7 +399,7 @@ def block_distance_sums(points: DataFrame, key: str, group: str, block_rows: int
             [column(ids, id_type), column(grps, pa.int64()), column(parts, pa.float64())], names=["id", "grp", "part"]
         )
 
-    parts = _cogroup(vectors, vectors, None, kernel, f"id {kind}, grp bigint, part double", block_rows)
+    parts = _cogroup(vectors, vectors, None, kernel, f"id {kind}, grp bigint, part double", block_rows, even=True)
     return parts.groupBy(_as_given("id", points, key), F.col("grp").alias(group)).agg(F.sum("part").alias("total"))
 
 
