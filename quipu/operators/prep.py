@@ -123,6 +123,7 @@ def prepare_interactions(
     viewed = members(pairs.where(F.col("views") > 0), catalog.select("item_id"), "item_id")
     viewed = settle(viewed, "pairs")
     completers = completions.select("user_id").distinct()
-    chosen = members(users_with_items(viewed), completers, "user_id")
+    # A pair has one row by now, so rows are items.
+    chosen = members(users_with_rows(viewed), completers, "user_id")
     selected = settle(members(viewed, chosen, "user_id"), "selected")
     return quantile_score(selected, "views", "score", classes)
