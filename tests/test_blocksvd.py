@@ -75,3 +75,46 @@ def test_recommendations_do_not_depend_on_the_solver(spark):
     assert np.allclose(s1, s2, rtol=1e-8)
     assert (best1[["user_id", "item_id"]] == best2[["user_id", "item_id"]]).all().all()
     assert np.abs(best1.score - best2.score).max() < 1e-6
+
+
+def test_equal_values_are_no_gap():
+    """Of four equal values two are wanted: what counts is how far the first other value lies below."""
+    values, tail, rest = np.array([4.0, 4.0, 4.0, 4.0, 1.0]), np.full((1, 2), 1e-9), np.ones((1, 1))
+    assert blocksvd._angle(values, tail, rest, 2) == pytest.approx(1e-9 / 3)
+    assert blocksvd._angle(values[:4], tail, rest, 2) == pytest.approx(1e-9 / 4)
+    assert blocksvd._angle(np.array([4.0, 2.0, 1.0]), tail, rest, 1) == pytest.approx(1e-9 / 2)
+
+
+def test_a_task_gives_out_one_sum_per_range(spark, monkeypatch):
+    """Cells spread thinly over 625 tiles, more ranges than a task holds together."""
+    for module in (reshape, blocksvd):
+        monkeypatch.setattr(module, "TILE_ROWS", 8)
+        monkeypatch.setattr(module, "TILE_COLUMNS", 8)
+    monkeypatch.setattr(blocksvd, "HELD_SUMS", 3)
+    given, add = [], blocksvd._sum_blocks
+
+    def counted(partial, keys):
+        if keys == ["at"]:
+            given.append(partial.count())
+        return add(partial, keys)
+
+    monkeypatch.setattr(blocksvd, "_sum_blocks", counted)
+    monkeypatch.setattr(blocksvd, "PASSES", 1)
+    rng = np.random.default_rng(3)
+    cells = sorted({(int(u), int(i)) for u, i in rng.integers(0, 200, (4000, 2))} | {(i, i) for i in range(200)})
+    df = spark.createDataFrame([(u, i, 1.0) for u, i in cells], "user_pos long, item_pos long, v double")
+    blocksvd.singular_vectors(df, 200, 2)
+    assert len(given) == 2 and max(given) <= 25 * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("cells_held", [1, 1 << 20])
+def test_packets_hold_every_tile(spark, monkeypatch, cells_held):
+    for module in (reshape, blocksvd):
+        monkeypatch.setattr(module, "TILE_ROWS", 4)
+        monkeypatch.setattr(module, "TILE_COLUMNS", 4)
+    monkeypatch.setattr(blocksvd, "PACKET_CELLS", cells_held)
+    rows = [(u, i, float(u + i)) for u in range(30) for i in range(30) if (u * i) % 3 != 1]
+    tiles = reshape.matrix_tiles(spark.createDataFrame(rows, "u long, i long, v double"), "u", "i", "v")
+    packets = blocksvd._packets(tiles, "cb", "rb").collect()
+    back = sorted((t.rb * 4 + r, p.cb * 4 + c, v) for p in packets for t in p.tiles for r, c, v in zip(t.r, t.c, t.v))
+    assert back == sorted(rows)
