@@ -118,3 +118,13 @@ def test_packets_hold_every_tile(spark, monkeypatch, cells_held):
     packets = blocksvd._packets(tiles, "cb", "rb").collect()
     back = sorted((t.rb * 4 + r, p.cb * 4 + c, v) for p in packets for t in p.tiles for r, c, v in zip(t.r, t.c, t.v))
     assert back == sorted(rows)
+
+
+def test_predictions_move_with_the_pairs(spark):
+    """The values of the asked pairs only, and no pair of blocks of users and items."""
+    users = spark.createDataFrame([(1, [1.0, 2.0]), (2, [0.5, -1.0])], "user_id long, val array<double>")
+    items = spark.createDataFrame([(7, [3.0, 4.0]), (8, [0.0, 1.0])], "item_id long, val array<double>")
+    asked = spark.createDataFrame([(1, 7), (1, 7), (2, 8), (3, 7), (1, 9), (None, 7)], "user_id long, item_id long")
+    found = factorize.predict(users, items, asked)
+    assert sorted(map(tuple, found.collect())) == [(1, 7, 11.0), (1, 7, 11.0), (2, 8, -1.0)]
+    assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
