@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 _LOCAL_SCRATCH: list[str] = []
@@ -73,14 +74,23 @@ def spill_cache(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def on_all_tasks(df: DataFrame) -> DataFrame:
-    """Spread an input that comes in fewer splits than there are tasks, before costly work per row.
+def on_all_tasks(df: DataFrame, small: int = 0) -> DataFrame:
+    """Spread an input that its splits leave to too few tasks, before costly work per row.
 
-    So few splits are little data, which is cheap to move; an input of many splits
-    stays where it is.
+    Few splits are little data, which is cheap to move.  Of many splits most may hold no
+    rows: all rows of a row group go to the split with its middle, so a large file of one
+    row group is the work of one task.  So the rows of the splits are counted, and spread
+    if their waves would take over half as long again as even ones.  Else they stay where
+    they are, as do splits of at most ``small`` rows.
     """
     tasks = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
+    splits = df.rdd.getNumPartitions()
+    if splits >= tasks or small:
+        held = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count(F.lit(1)).alias("n"))
+        filled, fullest, rows = held.agg(F.count("n"), F.max("n"), F.sum("n")).first()
+        if not filled or fullest <= small or 2 * -(-filled // tasks) * fullest * tasks <= 3 * rows:
+            return df
+    return df.repartition(tasks * -(-splits // tasks))
 
 
 def task_count(spark: SparkSession) -> int:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quipu.operators import blocks, evaluate, prep, recommend
-from quipu.session import settle
+from quipu.session import on_all_tasks, settle
 
 
 @pytest.mark.parametrize("m", [3, 128, 700, 1537, 4000])
@@ -71,3 +71,27 @@ def test_users_are_counted_from_rows_that_are_already_one_per_pair(spark):
     items, done = actions.select("item_id").distinct(), actions.select("user_id", "item_id")
     out = prep.prepare_interactions(actions, items, done, ["t"])
     assert {(r.user_id, r.item_id) for r in out.collect()} == {(2, 1), (2, 2)}
+
+
+def per_task(df):
+    return sorted(r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def test_a_large_file_of_one_row_group_is_spread(spark, tmp_path):
+    """Many splits, but all rows in one of them."""
+    tasks, path = spark.sparkContext.defaultParallelism, f"{tmp_path}/one"
+    spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t")).coalesce(1).write.parquet(path)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8k")
+    try:
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() > tasks and per_task(df) == [4000]
+        spread = on_all_tasks(df)
+        assert spread.rdd.getNumPartitions() % tasks == 0 and per_task(spread)[-1] <= 1.2 * 4000 / tasks
+        assert spread.select("id").distinct().count() == 4000
+        assert on_all_tasks(df, 4000) is df  # little data stays if asked for
+        even = spark.range(4000).repartition(tasks)
+        assert on_all_tasks(even) is even
+    finally:
+        spark.conf.set(name, before)
