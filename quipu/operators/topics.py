@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions import text
+from quipu.session import on_all_tasks
 
 TOPICS = 5  # fixed values: number of topics, vocabulary size and seed of the topic model
 VOCABULARY = 500
 SEED = 42
+SMALL = 1_000  # so few posts are inferred faster than they are spread
 
 
 def forum_tokens(posts: DataFrame, message: str, stop_words: Sequence[str], out: str = "tokens") -> DataFrame:
@@ -28,11 +30,12 @@ def fit_topics(
 ) -> PipelineModel:
     """Vocabulary and topic model together, so that scoring uses the terms of the fit.
 
-    One-letter words are no terms.  Every round reads every post.
+    One-letter words are no terms.  Every round reads every post, so posts that lie in
+    few tasks are spread first.
     """
     counts = CountVectorizer(inputCol="terms", outputCol="bag", vocabSize=vocabulary)
     lda = LDA(k=topics, seed=seed, featuresCol="bag", maxIter=rounds, subsamplingRate=1.0)
-    return Pipeline(stages=[counts, lda]).fit(as_terms(tokens))
+    return Pipeline(stages=[counts, lda]).fit(as_terms(on_all_tasks(tokens, SMALL)))
 
 
 def as_terms(tokens: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from quipu.operators import textmine, topics
 from quipu.plans import fixtures as fx
 from quipu.plans import jobs
 from quipu.plans.registry import query
-from quipu.session import scratch_path, settle
+from quipu.session import on_all_tasks, scratch_path, settle
 from quipu.sources.tables import read_table
 
 # Words that the invented prose of the fixtures contains, for spans that are found.
@@ -263,7 +263,8 @@ def _(spark, d):
 
 
 def _topic_tokens(spark, d):
-    return settle(topics.forum_tokens(fx.posts(spark, d), "message", forum_stop_words()), "tokens")
+    posts = on_all_tasks(fx.posts(spark, d), topics.SMALL)
+    return settle(topics.forum_tokens(posts, "message", forum_stop_words()), "tokens")
 
 
 @query("topic_model")

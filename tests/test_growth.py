@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.operators import blocks, evaluate, prep, recommend
+from quipu.operators import blocks, evaluate, prep, recommend, topics
+from quipu.plans import queries_text
 from quipu.session import on_all_tasks, settle
 
 
@@ -95,3 +96,17 @@ def test_a_large_file_of_one_row_group_is_spread(spark, tmp_path):
         assert on_all_tasks(even) is even
     finally:
         spark.conf.set(name, before)
+
+
+def test_topics_are_fitted_by_all_tasks(spark, tmp_path, monkeypatch):
+    tasks, n = spark.sparkContext.defaultParallelism, 2000
+    posts = [(i, 0, "user", f"palabra{i % 7} tema{i % 3} curso{i % 5}") for i in range(n)]
+    table = spark.createDataFrame(posts, "conv_id long, turn long, role string, text string").coalesce(1)
+    table.write.parquet(f"{tmp_path}/conversations.parquet")
+    tokens = queries_text._topic_tokens(spark, str(tmp_path))
+    assert len(per_task(tokens)) == tasks and sum(per_task(tokens)) == n
+    fitted = []
+    monkeypatch.setattr(topics, "as_terms", lambda df, f=topics.as_terms: fitted.append(df) or f(df))
+    model = topics.fit_topics(settle(tokens.coalesce(1)), rounds=1)
+    assert len(per_task(fitted[0])) == tasks and sum(per_task(fitted[0])) == n
+    assert topics.assign_topics(model, tokens).count() == n
