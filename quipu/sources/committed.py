@@ -50,11 +50,12 @@ class CommittedWriter(DataSourceArrowWriter):
         self.root, self.kind, self.names = root.rstrip("/"), kind, schema.names
         self.schema = to_arrow_schema(schema)
         self.version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        store, folder = _open(f"{self.root}/data/{self.version}")
+        store.create_dir(folder, recursive=True)  # here and not by tasks: one that outlives its failed job would bring it back
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = _open(self.root)
         folder = f"{root}/data/{self.version}"
-        store.create_dir(folder, recursive=True)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.{self.kind}"
         rows = 0
         with store.open_output_stream(f"{folder}/{name}") as out:

@@ -74,6 +74,15 @@ def test_a_failing_task_leaves_the_old_rows(spark, tmp_path):
     assert committed.read_refreshed(spark, path, old.schema).count() == 5
 
 
+def test_a_task_that_outlives_its_failed_job_leaves_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(committed.TaskContext, "get", lambda: type("Late", (), {"partitionId": lambda self: 0})())
+    writer = committed.CommittedWriter(str(tmp_path / "t"), "parquet", spark.range(1).schema)
+    writer.abort([])
+    with pytest.raises(OSError):
+        writer.write(iter([]))
+    assert os.listdir(tmp_path / "t/data") == []
+
+
 def test_files_of_other_attempts_are_no_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(50).withColumn("v", F.lit("x"))
