@@ -145,7 +145,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT) -> DataFr
     any_hot = not crowded.isEmpty()
     left = plain.join(crowded, ["turn", "key"], "left_anti") if any_hot else plain
     left, right = left.withColumnRenamed("fp", "a"), flipped.withColumnRenamed("fp", "b")
-    pairs = left.join(right, ["turn", "key"]).where(F.col("a") < F.col("b"))
+    # Spark sizes a table after an explode as the one before it: 68 rows a fingerprint would be broadcast as one.
+    pairs = left.join(right.hint("merge"), ["turn", "key"]).where(F.col("a") < F.col("b"))
     found = pairs.where(_chains_hold(F.col("a"), F.col("b"), F.col("turn"), max_bits)).select("a", "b")
     if any_hot:
         found = found.unionByName(_tiled(plain, flipped, crowded, max_bits, hot))

@@ -138,3 +138,10 @@ def test_links_join_what_all_pairs_join(spark, max_bits, hot):
             assert {got[q] for q in others} == {min(k for k, v in signed.items() if v in others)}
         else:
             assert p not in got
+
+
+def test_keys_after_an_explode_are_not_broadcast(spark):
+    """Spark sizes the 68 keys of a fingerprint like the fingerprint; a driver cannot hold them all."""
+    prints = spark.range(300).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
