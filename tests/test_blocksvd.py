@@ -7,6 +7,8 @@ import pytest
 
 from quipu.operators import blocksvd, factorize, reshape
 from quipu.plans import fixtures as fx
+from quipu.plans import queries_reco  # noqa: F401
+from quipu.plans.registry import QUERIES
 from quipu.session import settle
 
 
@@ -128,3 +130,16 @@ def test_predictions_move_with_the_pairs(spark):
     found = factorize.predict(users, items, asked)
     assert sorted(map(tuple, found.collect())) == [(1, 7, 11.0), (1, 7, 11.0), (2, 8, -1.0)]
     assert "CoGroup" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_svd_scores_holds_every_user_and_item(spark):
+    """The whole reconstructed matrix, also the pairs without a rating, and the values of numpy's."""
+    d = "/root/testdata/sf0.001"
+    ratings = fx.ratings(spark, d).toPandas()
+    wide = ratings.pivot(index="user_id", columns="item_id", values="score").fillna(0.0).astype(float)
+    u, s, vt = np.linalg.svd(wide.to_numpy(), full_matrices=False)
+    want = (u[:, :6] * s[:6]) @ vt[:6]
+    found = QUERIES["svd_scores"](spark, d).toPandas()
+    assert len(found) == wide.size > len(ratings)
+    got = found.pivot(index="user_id", columns="item_id", values="score").loc[wide.index, wide.columns]
+    assert np.abs(got.to_numpy() - want).max() < 1e-6
