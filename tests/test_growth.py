@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.operators import blocks, evaluate, prep, recommend, topics
+from quipu.operators import blocks, evaluate, prep, recommend, similarity, topics
 from quipu.plans import queries_text
 from quipu.session import on_all_tasks, settle
 
@@ -110,3 +110,36 @@ def test_topics_are_fitted_by_all_tasks(spark, tmp_path, monkeypatch):
     model = topics.fit_topics(settle(tokens.coalesce(1)), rounds=1)
     assert len(per_task(fitted[0])) == tasks and sum(per_task(fitted[0])) == n
     assert topics.assign_topics(model, tokens).count() == n
+
+
+@pytest.mark.parametrize("text_users", [False, True])
+@pytest.mark.parametrize("taken", [False, True])
+def test_copies_beyond_a_list_are_not_scored(spark, monkeypatch, text_users, taken):
+    """Lists over four groups of 30 equal items are those over all items, from far fewer scored ones."""
+    rng = np.random.default_rng(5)
+    items = pd.DataFrame({"item_id": np.arange(5, 125), "idx": [[g] if g < 3 else [] for g in [0, 1, 2, 3] * 30]})
+    items["val"] = [[1.0] * len(i) for i in items.idx]
+    users = pd.DataFrame({"user_id": np.arange(12), "pos": np.arange(12) % 3, "weight": 1.0})
+    seen = pd.DataFrame({"user_id": rng.integers(0, 13, 150), "item_id": rng.integers(5, 125, 150)})
+    # One user has seen the eight smallest items of its group, and one item twice.
+    seen = pd.concat([seen.drop_duplicates(), pd.DataFrame({"user_id": 1, "item_id": [*range(6, 38, 4), 6]})]).astype("int64")
+    if text_users:
+        users["user_id"], seen["user_id"] = users.user_id.astype(str), seen.user_id.astype(str)
+    vectors = spark.createDataFrame(items, "item_id long, idx array<int>, val array<double>")
+    profiles, pairs = spark.createDataFrame(users), spark.createDataFrame(seen)
+    scored, whole = [], similarity.block_topk
+
+    def counted(left, right, *args, **more):
+        scored.append(right.count())
+        return whole(left, right, *args, **more)
+
+    monkeypatch.setattr(similarity, "block_topk", counted)
+
+    def lists():
+        found = similarity.content_recommend(profiles, vectors, 3, profiles, vectors, seen=pairs if taken else None)
+        return sorted(tuple(r) for r in found.select("user_id", "item_id", "score").collect())
+
+    few = lists()
+    monkeypatch.setattr(similarity, "representatives", lambda vectors, *args: vectors)
+    assert few == lists() and len(few) == 36
+    assert scored[0] < 0.8 * scored[1] == 0.8 * 120
