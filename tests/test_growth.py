@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyspark.sql
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from quipu.operators import blocks, evaluate, prep, recommend, similarity, topics
 from quipu.plans import queries_text
@@ -143,3 +145,24 @@ def test_copies_beyond_a_list_are_not_scored(spark, monkeypatch, text_users, tak
     monkeypatch.setattr(similarity, "representatives", lambda vectors, *args: vectors)
     assert few == lists() and len(few) == 36
     assert scored[0] < 0.8 * scored[1] == 0.8 * 120
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_no_null_list_goes_to_an_arrow_function(spark, monkeypatch, dense):
+    """Every row of a batch costs a run over the null lists at its end, so none is sent."""
+    schemas, both = [], pyspark.sql.GroupedData.cogroup
+
+    def seen(left, right):
+        schemas.extend([left._df.schema, right._df.schema])
+        return both(left, right)
+
+    monkeypatch.setattr(pyspark.sql.GroupedData, "cogroup", seen)
+    rows = [(i, [0, 2], [1.0, float(i)]) for i in range(4)] + [(9, [], [])][dense:]
+    vectors = spark.createDataFrame(rows, "id long, idx array<int>, val array<double>")
+    vectors = vectors.drop("idx") if dense else vectors
+    left, right = vectors.withColumnRenamed("id", "a"), vectors.withColumnRenamed("id", "b")
+    asked = spark.createDataFrame([(1, 2), (3, 3), (9, 1), (5, 1)], "a long, b long")
+    found = {(r.a, r.b): r.score for r in blocks.block_scores(left, right, asked, "a", "b").collect()}
+    assert found == {(1, 2): 3.0, (3, 3): 10.0} | ({} if dense else {(9, 1): 0.0})
+    lists = [f for s in schemas for f in s.fields if isinstance(f.dataType, ArrayType)]
+    assert len(lists) == 6 and not any(f.nullable for f in lists)
